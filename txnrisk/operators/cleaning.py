@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnrisk.schemas import TRANSACTIONS
-from txnrisk.values import TRANSACTION_KEY, TRANSACTION_TYPES
+from txnrisk.values import TRANSACTION_TYPES
 
+# The transaction key with its most varied column first: rows are sorted by the key before and
+# after the shuffle, and most comparisons then end at the first column.
+SORTED_KEY = ("amount", "nameOrig", "nameDest", "step")
 SURVIVOR_ORDER = (
     "type",
     "oldbalanceOrg",
@@ -26,7 +29,7 @@ def dedup_transactions(raw: DataFrame) -> DataFrame:
     is applied before the shuffle as well as after it, so a key with any number of copies
     sends at most one row per input split.
     """
-    by_key = Window.partitionBy(*TRANSACTION_KEY).orderBy(
+    by_key = Window.partitionBy(*SORTED_KEY).orderBy(
         *[F.col(name).asc_nulls_first() for name in SURVIVOR_ORDER]
     )
     return (

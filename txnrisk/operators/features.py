@@ -39,3 +39,13 @@ def build_features(
     if threshold is None:
         threshold = large_amount_threshold(clean)
     return clean.withColumns(feature_columns(threshold_column(threshold)))
+
+
+def stored_threshold(features: DataFrame) -> DataFrame:
+    """One row: the threshold a feature table was built with, as far as its rows can tell.
+
+    The largest amount that is not large separates the table's amounts exactly as the
+    threshold did.
+    """
+    not_large = F.max(F.when(F.col("is_large_transaction") == 0, F.col("amount")))
+    return features.agg(F.coalesce(not_large, F.lit(float("-inf"))).alias("threshold"))

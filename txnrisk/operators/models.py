@@ -70,12 +70,11 @@ def class_weights(
     return df.withColumn(name, weight)
 
 
-def _auto_split(train: DataFrame) -> DataFrame:
+def _auto_split(train: DataFrame, rows: int) -> DataFrame:
     """Mark held-out rows: none below 500 rows, 20 % up to 50,000, then 10,000 in all.
 
     A hash of the row key decides, so a row keeps its side when a task is run again.
     """
-    rows = train.count()
     share = 0.0 if rows < 500 else 0.2 if rows <= 50_000 else 10_000 / rows
     slices = 1_000_000_000
     slot = F.pmod(F.xxhash64(*TRANSACTION_KEY, F.lit(SEED)), F.lit(slices))
@@ -123,10 +122,12 @@ def train_boosted_tree(
     """Gradient-boosted trees on balanced classes, stopped early on held-out rows.
 
     One tree is grown per round: Spark has no counterpart to several parallel trees in a
-    round, so the number of rounds is the parameter. The split loss maps to ``minInfoGain``,
-    which is on the scale of the impurity rather than of the loss.
+    round, so the number of rounds is the parameter. The split loss is a sum over rows and
+    ``minInfoGain`` a mean, so it is divided by the number of rows.
     """
     ensure_checkpoint_dir(train.sparkSession)
+    labelled = _labelled(train, *TRANSACTION_KEY)
+    size = labelled.count()
     classifier = GBTClassifier(
         featuresCol="features_vector",
         labelCol=LABEL,
@@ -135,12 +136,11 @@ def train_boosted_tree(
         maxIter=rounds,
         maxDepth=max_depth,
         stepSize=learn_rate,
-        minInfoGain=min_split_loss,
+        minInfoGain=min_split_loss / max(size, 1),
         cacheNodeIds=True,
         seed=SEED,
     )
-    rows = _auto_split(class_weights(_labelled(train, *TRANSACTION_KEY)))
-    return _fit_classifier(rows, classifier)
+    return _fit_classifier(_auto_split(class_weights(labelled), size), classifier)
 
 
 def train_random_forest(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ def exact_quantile(df: DataFrame, column: str, q: float, name: str = "threshold"
         .select(F.col(column).cast("double").alias("value"))
         .withColumn("bucket", _magnitude_bucket(F.col("value")))
     )
+    # Decimal, so that seven hundredths of a hundred rows are seven rows and not eight.
+    share = F.lit(Decimal(str(q)))
     up_to_bucket = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
         values.groupBy("bucket")
@@ -40,7 +44,7 @@ def exact_quantile(df: DataFrame, column: str, q: float, name: str = "threshold"
             "bucket",
             "n",
             F.sum("n").over(up_to_bucket).alias("upto"),
-            F.ceil(F.lit(float(q)) * F.sum("n").over(Window.partitionBy())).alias("rank"),
+            F.ceil(share * F.sum("n").over(Window.partitionBy())).cast("bigint").alias("rank"),
         )
     )
     target = (

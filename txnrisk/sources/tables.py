@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.schemas import RUN_DAY, RUN_TIMESTAMP, TABLES
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def ensure_tables(spark: SparkSession) -> None:
     """Create each of the eleven tables that does not exist, empty, with its schema."""
@@ -66,12 +69,23 @@ def write_append(df: DataFrame, name: str, by: str = "name", mode: str | None =
     if mode == "append":
         rows.write.insertInto(name)
     elif mode == "replace_run_date" and name in RUN_TIMESTAMP:
-        writer = rows.write.option("partitionOverwriteMode", "dynamic")
-        writer.insertInto(name, overwrite=True)
+        with _dynamic_overwrite(df.sparkSession):
+            rows.write.insertInto(name, overwrite=True)
     else:
         raise ValueError(f"cannot write {name} in mode {mode!r}")
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """Let an overwrite touch only the partitions it writes, whatever the table was made with."""
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
+
 def append_log_row(spark: SparkSession, name: str, row: Row | dict | tuple) -> None:
     """Add one row of literal values."""
     write_append(spark.createDataFrame([row], TABLES[name]), name)
