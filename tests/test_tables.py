@@ -108,6 +108,14 @@ def test_second_run_on_a_day_replaces_only_that_day(tables):
     assert totals == {1: 5, 2: 8}
 
 
+def test_an_empty_second_run_empties_its_day(tables):
+    name = "reports.daily_summary"
+    for day in (1, 2):
+        write_append(_summary(tables, day, 5), name, run_date=dt.date(2024, 1, day))
+    write_append(_summary(tables, 2, 5).where("false"), name, run_date=dt.date(2024, 1, 2))
+    assert [r.run_day.day for r in read_table(tables, name).collect()] == [1]
+
+
 def test_second_run_on_a_day_can_be_added(tables):
     name = "reports.daily_summary"
     for total in (6, 8):

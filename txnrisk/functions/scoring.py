@@ -44,12 +44,12 @@ def reported_probability(probability: Column) -> Column:
 
 
 def risk_level(probability: Column) -> Column:
-    """Level of the unrounded probability; a null counts as LOW."""
-    return (
-        F.when(probability >= HIGH_FROM, HIGH)
-        .when(probability >= MEDIUM_FROM, MEDIUM)
-        .otherwise(LOW)
-    )
+    """Level of the unrounded probability; a null counts as LOW.
+
+    Nested, so that a filter on HIGH becomes one comparison of the probability.
+    """
+    below_high = F.when(probability >= MEDIUM_FROM, MEDIUM).otherwise(LOW)
+    return F.when(probability >= HIGH_FROM, HIGH).otherwise(below_high)
 
 
 def top_reason(drained: Column, unchanged: Column, large: Column, risky_type: Column) -> Column:

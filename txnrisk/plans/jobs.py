@@ -1,18 +1,19 @@
 """The five batch jobs, each reading and writing the named tables.
 
-Every job takes the time of its run, so that it can be repeated for a past day. Jobs that find
-their input empty return False and write nothing.
+Every job takes the time of its run, in the time zone of the session, so that it can be repeated
+for a past day. Jobs that find their input empty return False and write nothing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
-from py4j.protocol import Py4JJavaError
 
 from txnrisk.operators import models, quality, scoring
 from txnrisk.operators.cleaning import clean_transactions
@@ -33,12 +34,19 @@ TREE_TRAINERS = {
 }
 
 
+def _stamp(run_ts: dt.datetime) -> Column:
+    """The run time as read by the session, whatever zone the driver's clock is in."""
+    if run_ts.tzinfo is not None:
+        raise ValueError("give the run time without a zone, in the session's zone")
+    return F.to_timestamp(F.lit(run_ts.isoformat(sep=" ")))
+
+
 def ingest(spark: SparkSession, csv_path: str, run_ts: dt.datetime) -> None:
     """Load the CSV over the raw table, check it, and log the load."""
     write_replace(read_transactions_csv(spark, csv_path), "raw.transactions")
     raw = read_table(spark, "raw.transactions")
     quality.gate_load(quality.load_stats(raw))
-    log_row = quality.ingestion_log_row(raw, "raw.transactions", F.lit(run_ts))
+    log_row = quality.ingestion_log_row(raw, "raw.transactions", _stamp(run_ts))
     write_append(log_row, "raw.ingestion_log")
 
 
@@ -54,7 +62,7 @@ def preprocess(spark: SparkSession, run_ts: dt.datetime) -> DataFrame | bool:
     write_replace(
         clean_transactions(raw).sortWithinPartitions("step"), "staging.transactions_clean"
     )
-    write_append(quality.validation_log_rows(raw, F.lit(run_ts)), "staging.validation_log")
+    write_append(quality.validation_log_rows(raw, _stamp(run_ts)), "staging.validation_log")
     return quality.staging_check(read_table(spark, "staging.transactions_clean"))
 
 
@@ -69,7 +77,7 @@ def engineer_features(
     write_replace(build_features(clean, threshold), "features.transaction_features")
     features = read_table(spark, "features.transaction_features")
     quality.gate_features(quality.feature_checks(features))
-    write_append(quality.feature_log_row(features, F.lit(run_ts)), "features.feature_log")
+    write_append(quality.feature_log_row(features, _stamp(run_ts)), "features.feature_log")
     return quality.latest_feature_log(read_table(spark, "features.feature_log"))
 
 
@@ -90,10 +98,10 @@ def train(
         _save(model, model_dir, name)
         metrics = evaluate_classifier(models.predict(model, evaluate))
         write_append(
-            evaluation_log_row(metrics, name, F.lit(run_ts)), "ml_models.model_evaluation_log"
+            evaluation_log_row(metrics, name, _stamp(run_ts)), "ml_models.model_evaluation_log"
         )
     _save(models.train_kmeans(training), model_dir, KMEANS)
-    log_rows = training_log_rows(features, F.lit(run_ts), (LOGISTIC, tree, KMEANS), split_step)
+    log_rows = training_log_rows(features, _stamp(run_ts), (LOGISTIC, tree, KMEANS), split_step)
     write_append(log_rows, "ml_models.training_log")
     return compare_models(read_table(spark, "ml_models.model_evaluation_log"))
 
@@ -115,7 +123,7 @@ def score_day(
     model = load_model(model_dir, model_name)
     if model is None:
         return False
-    day, stamp = run_ts.date(), F.lit(run_ts)
+    day, stamp = run_ts.date(), _stamp(run_ts)
     features = read_table(spark, "features.transaction_features")
     scored = models.predict(model, scoring.score_window(features))
     if join_mode == "carry":
@@ -124,7 +132,8 @@ def score_day(
         rows = scoring.fraud_predictions_rejoined(scored, features, stamp)
     else:
         raise ValueError(f"unknown join mode {join_mode!r}")
-    write_append(rows, "reports.fraud_predictions", by="position", mode=write_mode)
+    write = partial(write_append, mode=write_mode, run_date=day)
+    write(rows, "reports.fraud_predictions", by="position")
 
     predictions = read_table(spark, "reports.fraud_predictions")
     if join_mode == "carry":
@@ -132,9 +141,9 @@ def score_day(
     else:
         window = scoring.score_window(features)
         alerts = scoring.high_risk_alerts_rejoined(predictions, window, stamp, day)
-    write_append(alerts, "reports.high_risk_alerts", mode=write_mode)
+    write(alerts, "reports.high_risk_alerts")
     summary = scoring.daily_summary(predictions, stamp, model_name, day)
-    write_append(summary, "reports.daily_summary", mode=write_mode)
+    write(summary, "reports.daily_summary")
     return scoring.alert_totals(read_table(spark, "reports.high_risk_alerts"), day)
 
 

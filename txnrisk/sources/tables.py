@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -57,22 +58,35 @@ def write_replace(df: DataFrame, name: str) -> None:
     writer.saveAsTable(name)
 
 
-def write_append(df: DataFrame, name: str, by: str = "name", mode: str | None = None) -> None:
+def write_append(
+    df: DataFrame,
+    name: str,
+    by: str = "name",
+    mode: str | None = None,
+    run_date: dt.date | None = None,
+) -> None:
     """Add the query result to a table, columns matched by name or by position.
 
-    Tables stored by run day replace the days present in the result, so that a rerun leaves
-    one copy; ``mode="append"`` adds to them instead. All other tables are appended to.
+    Tables stored by run day are rerun safely: the result replaces the given run date, even
+    when it is empty, or without one the days it contains. ``mode="append"`` adds to them
+    instead. All other tables are appended to.
     """
     if mode is None:
         mode = "replace_run_date" if name in RUN_TIMESTAMP else "append"
-    rows = _with_run_day(_conform(df, name, by), name)
+    rows = _conform(df, name, by)
     if mode == "append":
-        rows.write.insertInto(name)
-    elif mode == "replace_run_date" and name in RUN_TIMESTAMP:
+        _with_run_day(rows, name).write.insertInto(name)
+    elif mode != "replace_run_date" or name not in RUN_TIMESTAMP:
+        raise ValueError(f"cannot write {name} in mode {mode!r}")
+    elif run_date is None:
         with _dynamic_overwrite(df.sparkSession):
-            rows.write.insertInto(name, overwrite=True)
+            _with_run_day(rows, name).write.insertInto(name, overwrite=True)
     else:
-        raise ValueError(f"cannot write {name} in mode {mode!r}")
+        df.sparkSession.sql(
+            f"INSERT OVERWRITE TABLE {name} PARTITION ({RUN_DAY} = DATE '{run_date}') "
+            "SELECT * FROM {rows}",
+            rows=rows,
+        )
 
 
 @contextmanager
