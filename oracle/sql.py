@@ -173,6 +173,8 @@ DISTANCES = ", ".join(
     for centroid in CENTROIDS
 )
 
+SOURCES = {"read_transactions_csv": "SELECT * FROM raw"}
+
 CHECKS = {
     "ingestion_log_row": f"""SELECT {RUN} AS run_date, 'raw.transactions' AS table_name,
         'SUCCESS' AS status, count(*) AS row_count FROM raw""",
@@ -426,6 +428,6 @@ DASHBOARDS = {
 
 ORACLE = {
     name: TABLES + select
-    for group in (CHECKS, CLEANING, FEATURES, MODELS, SCORING, DASHBOARDS)
+    for group in (SOURCES, CHECKS, CLEANING, FEATURES, MODELS, SCORING, DASHBOARDS)
     for name, select in group.items()
 }

@@ -10,7 +10,7 @@ from txnrisk.plans import jobs
 from txnrisk.plans.tables import RunTables
 from txnrisk.schemas import TABLES
 from txnrisk.sources.tables import ensure_tables, read_table
-from txnrisk.values import BOOSTED_TREE, LOGISTIC, RANDOM_FOREST
+from txnrisk.values import BOOSTED_TREE, JOB_SPLIT_STEP, LOGGED_MODELS, LOGISTIC, RANDOM_FOREST
 
 RUN = dt.datetime(2024, 1, 30, 6, 0)
 
@@ -114,6 +114,23 @@ def test_missing_model_stops_the_day(spark, model_dir):
     assert _count(spark, "reports.fraud_predictions") == before
 
 
+def test_training_with_the_other_split_and_boosted_trees(spark, model_dir):
+    day = dt.datetime(2024, 2, 7, 6, 0)
+    compared = jobs.train(spark, day, model_dir, split_step=JOB_SPLIT_STEP)
+    assert BOOSTED_TREE in {row.model_name for row in compared.collect()}
+    logged = read_table(spark, "ml_models.training_log").where("run_date > '2024-02-01'").collect()
+    assert {row.model_name for row in logged} == set(LOGGED_MODELS)
+    assert {(row.training_rows, row.eval_rows) for row in logged} == {(1381, 9712 - 1381)}
+    newest = dashboards.latest_model_metrics(read_table(spark, "ml_models.model_evaluation_log"))
+    assert newest.first().model_name == BOOSTED_TREE and newest.first().roc_auc > 0.9
+
+
+def test_clean_files_are_sorted_by_step(spark, model_dir):
+    for path in read_table(spark, "staging.transactions_clean").inputFiles():
+        steps = [row.step for row in spark.read.parquet(path).select("step").collect()]
+        assert steps == sorted(steps)
+
+
 def test_unknown_join_mode(spark, model_dir):
     with pytest.raises(ValueError):
         jobs.score_day(spark, RUN, model_dir, join_mode="outer")

@@ -6,6 +6,7 @@ Dates are returned as dates, so that the result does not depend on a time zone.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -17,7 +18,8 @@ from txnrisk.functions.features import feature_columns
 from txnrisk.operators import cleaning, dashboards, evaluation, models, quality, scoring
 from txnrisk.operators.features import large_amount_threshold, threshold_column
 from txnrisk.plans.tables import AS_OF, LOG_LOSS_CLAMP, RunTables, run_ts
-from txnrisk.sources.tables import materialize
+from txnrisk.sources.tables import materialize, shared_dir
+from txnrisk.sources.transactions_csv import read_transactions_csv
 from txnrisk.values import (
     BOOSTED_TREE,
     CLASS_WEIGHTS,
@@ -49,6 +51,10 @@ CENTROIDS = (
     (-200.0, -200.0, 100.0, 0, 1, 1, 0),
 )
 
+SOURCES: dict[str, Query] = {
+    "read_transactions_csv": lambda t: _through_csv(t),
+}
+
 CHECKS: dict[str, Query] = {
     "ingestion_log_row": lambda t: quality.ingestion_log_row(t.raw, "raw.transactions", _today()),
     "load_stats": lambda t: quality.load_stats(t.raw),
@@ -181,6 +187,13 @@ def _dated(df: DataFrame, timestamp: str) -> DataFrame:
     return df.withColumn(timestamp, F.to_date(timestamp))
 
 
+def _through_csv(t: RunTables) -> DataFrame:
+    """The raw transactions after a trip through CSV files in the shared folder."""
+    path = f"{shared_dir(t.spark)}/transactions-{uuid.uuid4().hex}"
+    t.raw.write.csv(path, header=True)
+    return read_transactions_csv(t.spark, path)
+
+
 def _one_feature(name: str) -> Query:
     """A feature worked out on the cleaned rows, next to the row key."""
 
@@ -268,7 +281,15 @@ def _predicted(t: RunTables) -> DataFrame:
 # The feature queries, named after the feature they add to the row key.
 FEATURES.update({f"f_{name}": _one_feature(name) for name in CLASSIFIER_FEATURES})
 
-ALL: dict[str, Query] = {**CHECKS, **CLEANING, **FEATURES, **MODELS, **SCORING, **DASHBOARDS}
+ALL: dict[str, Query] = {
+    **SOURCES,
+    **CHECKS,
+    **CLEANING,
+    **FEATURES,
+    **MODELS,
+    **SCORING,
+    **DASHBOARDS,
+}
 
 
 def _bind(query: Query) -> Callable[[SparkSession, str], DataFrame]:
