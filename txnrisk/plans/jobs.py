@@ -125,7 +125,8 @@ def score_day(
         return False
     day, stamp = run_ts.date(), _stamp(run_ts)
     features = read_table(spark, "features.transaction_features")
-    scored = models.predict(model, scoring.score_window(features))
+    window = scoring.score_window(features)
+    scored = models.predict(model, window)
     if join_mode == "carry":
         rows = scoring.fraud_predictions(scored, stamp)
     elif join_mode == "rejoin":
@@ -137,9 +138,8 @@ def score_day(
 
     predictions = read_table(spark, "reports.fraud_predictions")
     if join_mode == "carry":
-        alerts = scoring.high_risk_alerts(predictions, stored_threshold(features), stamp, day)
+        alerts = scoring.high_risk_alerts(predictions, stored_threshold(window), stamp, day)
     else:
-        window = scoring.score_window(features)
         alerts = scoring.high_risk_alerts_rejoined(predictions, window, stamp, day)
     write(alerts, "reports.high_risk_alerts")
     summary = scoring.daily_summary(predictions, stamp, model_name, day)
