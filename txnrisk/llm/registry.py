@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnrisk.llm import packing, quality
+from pyspark.sql import functions as F
+
+from txnrisk.llm import fingerprints, html, language, packing, quality, secrets, urls
 from txnrisk.llm.tables import read
 
 
@@ -16,6 +18,11 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of each document and its edited text, and how alike they are."""
+    return fingerprints.edited_pairs(read(spark, folder, "documents"))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Where each piece of each document lies in the packed sequences."""
     packed = packing.pack_documents(read(spark, folder, "documents"), tokenizer_path())
@@ -24,15 +31,46 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of each document, learned from three quarters of them."""
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.filter(~language.held_out("doc_id")))
+    rows = docs.select("doc_id", language.held_out("doc_id").alias("held_out"), "text")
+    return language.predict(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on each page's URL."""
+    pages = read(spark, folder, "pages")
+    labelled = urls.labelled_by_document(pages, read(spark, folder, "labels"))
+    return urls.judge(pages, urls.mine_rules(labelled))
+
+
+def op6_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in each document; sources are owners, the languages of a source its repositories."""
+    return secrets.summary(secrets.scan(read(spark, folder, "documents")))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Repetition measures and the verdict on each document."""
     return quality.quality_measures(read(spark, folder, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of each page."""
+    pages = html.extract_text(read(spark, folder, "pages").select("page_id", "url", "html"))
+    return pages.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_fingerprints": op1_fingerprints,
         "op3_packing": op3_packing,
+        "op4_language_id": op4_language_id,
+        "op5_url_filters": op5_url_filters,
+        "op6_secret_scans": op6_secret_scans,
         "op9_quality_rules": op9_quality_rules,
+        "op10_html_extraction": op10_html_extraction,
     }
 
 
