@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from txnrisk.llm import fingerprints, html, language, packing, quality, secrets, urls
+from txnrisk.llm import fingerprints, html, language, lines, mixing, oracle, packing, quality, secrets, urls
 from txnrisk.llm.tables import read
 
 
@@ -18,11 +18,31 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: The domains are dealt out by the number in a source's name; the test tables name none.
+DOMAINS = ("web", "books", "news", "forum")
+MIX = mixing.Plan(
+    weights={"web": 4, "books": 3, "news": 2, "forum": 1, "*/en": 6, "*/de": 2, "*/fr": 2, "*/es": 1},
+    max_epochs=4,
+    seed=7,
+)
+
+
+def domain_of(source: Column) -> Column:
+    number = F.regexp_extract(F.coalesce(source, F.lit("")), "([0-9]{1,9})$", 1).try_cast("int")
+    return F.coalesce(F.element_at(F.array(*map(F.lit, DOMAINS)), F.pmod(number, F.lit(len(DOMAINS))) + 1), F.lit("other"))
+
+
 def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of each document and its edited text, and how alike they are."""
     return fingerprints.edited_pairs(read(spark, folder, "documents"))
 
 
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many tokens of each document each epoch takes."""
+    docs = read(spark, folder, "documents")
+    return mixing.selection(docs, MIX, domain_of(F.col("source")))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Where each piece of each document lies in the packed sequences."""
     packed = packing.pack_documents(read(spark, folder, "documents"), tokenizer_path())
@@ -51,6 +71,12 @@ def op6_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.summary(secrets.scan(read(spark, folder, "documents")))
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents without the lines that repeat an earlier one up to one word."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return lines.drop_repeated_lines(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Repetition measures and the verdict on each document."""
     return quality.quality_measures(read(spark, folder, "documents"))
@@ -65,10 +91,12 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
+        "op2_mixing": op2_mixing,
         "op3_packing": op3_packing,
         "op4_language_id": op4_language_id,
         "op5_url_filters": op5_url_filters,
         "op6_secret_scans": op6_secret_scans,
+        "op8_line_dedup": op8_line_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_html_extraction": op10_html_extraction,
     }
@@ -76,4 +104,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def llm_oracles() -> dict[str, str]:
     """DuckDB SQL for the operators that SQL can express."""
-    return {}
+    return dict(oracle.SQL)

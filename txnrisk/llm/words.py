@@ -65,7 +65,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``count`` powers of the hash base and of its inverse."""
     cache = worker_cache()
     if len(cache.get("powers", ((),))[0]) < count:
         size = max(count, SLICE_BYTES + 1)
@@ -84,9 +85,9 @@ class Spans:
     """Hashes of byte ranges of one buffer."""
 
     def __init__(self, data: np.ndarray):
-        powers, self._inverse = _powers(len(data) + 1)
+        table, self._inverse = powers(len(data) + 1)
         self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=self._sums[1:])
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * table[: len(data)], out=self._sums[1:])
 
     def hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self._sums[ends] - self._sums[starts]) * self._inverse[starts])
