@@ -3,17 +3,38 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from txnrisk.llm import packing, quality
-from txnrisk.llm.registry import tokenizer_path
+from txnrisk.llm import jaccard, lines, mixing, packing, quality
+from txnrisk.llm.registry import MIX, domain_of, tokenizer_path
 from txnrisk.llm.tables import read, stored
 
 
+def with_length(docs: DataFrame) -> DataFrame:
+    """``n_chars`` as it is after a stage has changed texts."""
+    return docs.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the repetition rules."""
     return quality.keep_good(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that repeat an earlier one, up to one word."""
+    return with_length(lines.drop_repeated_lines(docs))
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles."""
+    return jaccard.keep_one_of_each(docs, jaccard.Likeness(5, 80, 100))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many tokens as there are, in the target proportions; rows repeat by epoch."""
+    return mixing.mix(docs, MIX, domain_of(F.col("source")))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the packed sequences."""
     return packing.pack_documents(docs, tokenizer_path())
@@ -21,10 +42,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("jaccard_join", jaccard_join),
+    ("mixing", mix_sources),
     ("packing", pack),
 ]
 
-#: Token ids are beyond SQL, so the stages are tested against brute force instead.
+#: Token ids and near lines are beyond SQL, so the stages are tested against brute force instead.
 ORACLE_SQL = None
 
 

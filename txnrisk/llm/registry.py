@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from txnrisk.llm import fingerprints, html, language, lines, mixing, oracle, packing, quality, secrets, urls
+from txnrisk.llm import fingerprints, html, jaccard, language, lines, mixing, oracle, packing, quality, secrets, urls
 from txnrisk.llm.tables import read
 
 
@@ -71,6 +71,11 @@ def op6_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.summary(secrets.scan(read(spark, folder, "documents")))
 
 
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of each document by shared 4-word shingles."""
+    return jaccard.link_components(read(spark, folder, "documents"), jaccard.Likeness(4, 85, 100))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The documents without the lines that repeat an earlier one up to one word."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
@@ -96,6 +101,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_language_id": op4_language_id,
         "op5_url_filters": op5_url_filters,
         "op6_secret_scans": op6_secret_scans,
+        "op7_jaccard_join": op7_jaccard_join,
         "op8_line_dedup": op8_line_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_html_extraction": op10_html_extraction,
