@@ -1,0 +1,85 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from txnrisk.llm.packing import best_fit_decreasing, pack_documents, sequences
+from txnrisk.llm.registry import tokenizer_path
+
+PATH = tokenizer_path()
+
+
+def expected(rows):
+    tokenizer = Tokenizer.from_file(PATH)
+    found = tokenizer.encode_batch([text or "" for _, text in rows], add_special_tokens=False)
+    return {doc: np.array([*e.ids, 2], "<u4") for (doc, _), e in zip(rows, found)}
+
+
+def check(packed, rows, window):
+    ids = expected(rows)
+    by_document, by_sequence = {}, {}
+    for row in packed.collect():
+        by_document.setdefault(row.doc_id, []).append(row)
+        by_sequence.setdefault(row.sequence_id, []).append(row)
+    assert by_document.keys() == ids.keys()
+    for doc, pieces in by_document.items():
+        pieces.sort(key=lambda p: p.start)
+        assert [p.start for p in pieces] == list(np.cumsum([0] + [p.length for p in pieces])[:-1])
+        assert sum(p.length for p in pieces) == len(ids[doc])
+        for p in pieces:
+            piece = ids[doc][p.start : p.start + p.length]
+            assert p.doc_tokens == len(ids[doc])
+            assert p.ids_crc32 == zlib.crc32(piece.tobytes())
+            assert p.ids == piece.tolist()
+    for pieces in by_sequence.values():
+        pieces.sort(key=lambda p: p.offset)
+        assert [p.offset for p in pieces] == list(np.cumsum([0] + [p.length for p in pieces])[:-1])
+        assert sum(p.length for p in pieces) <= window
+    return by_sequence
+
+
+def test_pieces_are_the_ids(spark, medium, odd_rows):
+    rows = [(r.doc_id, r.text) for r in medium.collect()]
+    rows += [(10_000 + i, text) for i, text in odd_rows]
+    rows += [(20_000, "It's 'S they'LL <|endoftext|> a<|endoftext|>b |x| a|b ΣΑΣ İx!, y,,z " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = check(pack_documents(docs, PATH, with_ids=True), rows, 4096)
+    tokens = sum(p.length for pieces in found.values() for p in pieces)
+    assert len(found) * 4096 < 1.01 * tokens + 4096
+
+
+def test_sequences_join_the_pieces(spark, small):
+    packed = pack_documents(small, PATH, window=512, with_ids=True)
+    check(packed, [(r.doc_id, r.text) for r in small.collect()], 512)
+    for row in sequences(packed).collect():
+        assert len(row.ids) == sum(row.lengths) <= 512
+
+
+def test_odd_tables(spark, odd):
+    assert pack_documents(odd.limit(0), PATH).count() == 0
+    found = pack_documents(odd.filter("doc_id IS NULL OR doc_id < 3"), PATH).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.doc_tokens) for r in found)[:3] == [(False, i, 1) for i in range(3)]
+    assert sum(r.doc_id is None for r in found) == 2
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_best_fit_is_the_tightest(seed):
+    rnd = random.Random(seed)
+    lengths = [rnd.randrange(1, 101) for _ in range(rnd.randrange(0, 60))]
+    free: list[int] = []
+    want = []
+    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+        fits = [space for space in free if space >= lengths[i]]
+        if fits:
+            free[free.index(min(fits))] -= lengths[i]
+        else:
+            free.append(100 - lengths[i])
+    placed = best_fit_decreasing(lengths, 100)
+    used: dict[int, int] = {}
+    for (number, offset), length in zip(placed, lengths):
+        used[number] = used.get(number, 0) + length
+        assert 0 <= offset <= 100 - length
+        want.append(number)
+    assert sorted(100 - n for n in used.values()) == sorted(free)

@@ -108,12 +108,18 @@ def merge_by(parts: DataFrame, keys: list[str], fingerprint_col: str = "fingerpr
     )
 
 
-def with_next(rows: DataFrame, id_col: str, text_col: str, columns: list[str]) -> DataFrame:
+def with_next(
+    rows: DataFrame,
+    id_col: str,
+    text_col: str,
+    columns: list[str],
+    derive: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
     """Add ``next``: the given columns of the row that follows by id, or of the first row after the last.
 
     Equal ids follow each other by text hash, null ids come first. Rows are dealt into buckets of
     adjoining ids, each with a copy of the row that opens the next one, so each row is shuffled once
-    and no task sorts more than a bucket.
+    and no task sorts more than a bucket. ``derive`` adds columns to all rows before that, once.
     """
     order = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
     low, high, count = rows.agg(F.min(id_col), F.max(id_col), F.count("*")).first()
@@ -133,7 +139,8 @@ def with_next(rows: DataFrame, id_col: str, text_col: str, columns: list[str]) -
         ).alias("opens"),
     )
     openers = (
-        keyed.join(opening, F.col("next_order").eqNullSafe(F.col("opens")))
+        # One row per bucket, so at most MAX_BUCKETS of them are broadcast.
+        keyed.join(F.broadcast(opening), F.col("next_order").eqNullSafe(F.col("opens")))
         .drop("next_bucket", "opens")
         .withColumnRenamed("closes", "next_bucket")
         .dropDuplicates(["next_bucket"])
@@ -141,8 +148,7 @@ def with_next(rows: DataFrame, id_col: str, text_col: str, columns: list[str]) -
     )
     within = Window.partitionBy("next_bucket").orderBy("next_opens", "next_order")
     return (
-        keyed.withColumn("next_opens", F.lit(False))
-        .unionByName(openers)
+        derive(keyed.withColumn("next_opens", F.lit(False)).unionByName(openers))
         .withColumn("next", F.lead(F.struct(*columns)).over(within))
         .filter(~F.col("next_opens"))
         .drop("next_opens", "next_bucket", "next_order")
@@ -155,12 +161,11 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     The edited text has its last half replaced by the first half as many code points of the next.
     """
     rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    rows = with_fingerprint(rows, "body", "print")
     n = F.char_length("body")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left(F.col("body"), n - half), F.left(F.col("next.body"), half))
     return (
-        with_next(rows, id_col, "body", ["body", "print"])
+        with_next(rows, id_col, "body", ["body", "print"], lambda rows: with_fingerprint(rows, "body", "print"))
         .select(id_col, n.cast("long").alias("n_chars"), "print", F.col("next.print").alias("next_print"), edited.alias("edited"))
         .select("*", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("edited")).alias("edited_print"))
         .select(

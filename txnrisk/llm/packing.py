@@ -1,9 +1,9 @@
 """Packing token sequences into windows by best-fit decreasing.
 
 Each document is tokenized where its row lies. Documents longer than a window are cut into full
-windows, which are complete sequences; what is left of each document, one piece at most, goes to a
-packing group. Groups are dealt out by row position, so they hold about ``GROUP_PIECES`` pieces
-whatever the keys, and only piece lengths are shuffled unless token ids are asked for.
+windows, which fill a sequence each, and a rest. Pieces are dealt to packing groups by row
+position, so a group holds those of about ``GROUP_DOCUMENTS`` documents whatever the keys, and only
+piece lengths are shuffled unless token ids are asked for.
 
 Inside a group pieces are taken by falling length, and each goes to the open window with the
 smallest sufficient space, found in a segment tree over remaining capacity.
@@ -25,13 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnrisk.llm.words import LOWER, buffers, slices, worker_cache
+from txnrisk.llm.words import LOWER, Spans, buffers, slices, word_bounds, worker_cache
 
 WINDOW = 4096
 END_ID = 2
-GROUP_PIECES = 2000
+GROUP_DOCUMENTS = 2000
 #: Words remembered by a worker with their ids; the memory starts anew beyond this many.
-REMEMBERED_WORDS = 800_000
+REMEMBERED_WORDS = 1_500_000
 
 
 #: ASCII punctuation that always begins a new token after a letter; an apostrophe may not.
@@ -46,7 +46,8 @@ MARK = "|"
 class WordTokenizer:
     """Token ids of texts, for a tokenizer that drops case and white space and never joins across it.
 
-    Equal words have equal ids then, so each distinct word is tokenized once per worker.
+    Equal words have equal ids then, so each distinct word, by its 64-bit hash, is tokenized once per
+    worker.
     """
 
     def __init__(self, path: str):
@@ -58,27 +59,31 @@ class WordTokenizer:
         self._forget()
 
     def _forget(self) -> None:
-        self._index: dict[bytes, int] = {}
+        #: Hashes of the words met so far in order, and which of the runs of ids belongs to each.
+        self._known = np.zeros(0, np.uint64)
+        self._run = np.zeros(0, np.int64)
         self._ids = np.zeros(0, np.uint32)
         self._starts = np.zeros(1, np.int64)
 
     def _ids_of(self, texts: list[str]) -> list[np.ndarray]:
-        found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(encoding.ids, np.uint32) for encoding in found]
 
-    def _learn(self, words: list[bytes]) -> None:
-        new = list({word for word in words if word not in self._index})
-        plain = [word for word in new if MARK.encode() not in word]
-        marked = [word for word in new if MARK.encode() in word]
-        ids = self._ids_of([f" {MARK} ".join(word.decode() for word in plain)])[0]
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        marked = np.array([MARK.encode() in word for word in words], bool)
+        hashes = np.concatenate((hashes[~marked], hashes[marked]))
+        plain = [word.decode() for word, apart in zip(words, marked) if not apart]
+        ids = self._ids_of([f" {MARK} ".join(plain)])[0]
         ends = np.flatnonzero(np.append(ids, self._mark) == self._mark)[: len(plain)]
-        sizes = np.diff(ends, prepend=-1) - 1
-        rest = self._ids_of([word.decode() for word in marked])
-        known = len(self._index)
-        self._index.update(zip(plain + marked, range(known, known + len(new))))
+        rest = self._ids_of([word.decode() for word, apart in zip(words, marked) if apart])
+        sizes = np.concatenate((np.diff(ends, prepend=-1) - 1, np.array([len(x) for x in rest], np.int64)))
+        runs = np.arange(len(words)) + len(self._starts) - 1
         self._ids = np.concatenate([self._ids, ids[ids != self._mark], *rest])
-        sizes = np.concatenate([sizes, np.array([len(x) for x in rest], np.int64)])
         self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
+        order = np.argsort(hashes)
+        at = np.searchsorted(self._known, hashes[order])
+        self._known = np.insert(self._known, at, hashes[order])
+        self._run = np.insert(self._run, at, runs[order])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a buffer in a row, and where each text's ids begin."""
@@ -88,23 +93,24 @@ class WordTokenizer:
             cuts = np.searchsorted(before, offsets, "right")
             offsets = offsets + np.where(np.isin(offsets, before), cuts - 1, cuts)
             data = np.insert(data, before, 32)
-        raw = data.tobytes()
-        words: list[bytes] = []
-        cuts = [0]
-        for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-            words += raw[start:end].split()
-            cuts.append(len(words))
-        if len(self._index) > REMEMBERED_WORDS:
+        starts, ends, bounds = word_bounds(data, offsets)
+        hashes, first, word = np.unique(Spans(data).hash(starts, ends), return_index=True, return_inverse=True)
+        if len(self._known) > REMEMBERED_WORDS:
             self._forget()
-        index = list(map(self._index.get, words))
-        if None in index:
-            self._learn(words)
-            index = list(map(self._index.get, words))
-        at = np.array(index, np.int64)
-        starts, sizes = self._starts[at], np.diff(self._starts)[at]
-        ends = np.concatenate(([0], np.cumsum(sizes)))
-        places = np.arange(ends[-1]) + np.repeat(starts - ends[:-1], sizes)
-        return self._ids[places], ends[cuts]
+        at = np.searchsorted(self._known, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = at < len(self._known)
+        new[inside] = self._known[at[inside]] != hashes[inside]
+        if new.any():
+            raw = data.tobytes()
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            self._learn(hashes[new], [raw[a:b] for a, b in spans])
+            at = np.searchsorted(self._known, hashes)
+        run = self._run[at][word]
+        sizes = np.diff(self._starts)[run]
+        total = np.concatenate(([0], np.cumsum(sizes)))
+        places = np.arange(total[-1]) + np.repeat(self._starts[run] - total[:-1], sizes)
+        return self._ids[places], total[bounds]
 
 
 def _tokenizer(path: str) -> WordTokenizer:
@@ -123,14 +129,14 @@ def cut_documents(
     end_id: int | None = END_ID,
     with_ids: bool = False,
 ) -> DataFrame:
-    """One row per piece: full windows and each document's rest, which has ``whole`` false.
+    """One row per piece: full windows and each document's rest.
 
     ``piece_key`` numbers pieces by input split and position in it, so a repeated task
     gives the same numbers.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     schema = (
-        f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, whole boolean, "
+        f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
         "piece_key long" + (", ids array<int>" if with_ids else "")
     )
 
@@ -154,9 +160,9 @@ def cut_documents(
                 at, start, length, crc, total, keys = (np.array(x, np.int64) for x in zip(*rows))
                 columns = [
                     part.column(id_col).take(pa.array(at)),
-                    *map(pa.array, (start, length, crc, total, length == window, keys)),
+                    *map(pa.array, (start, length, crc, total, keys)),
                 ]
-                names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "whole", "piece_key"]
+                names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "piece_key"]
                 if with_ids:
                     ends = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
                     columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(pieces))))
@@ -217,28 +223,20 @@ def best_fit_decreasing(lengths: list[int], window: int = WINDOW) -> list[tuple[
 
 def pack(pieces: DataFrame, groups: int, window: int = WINDOW) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to the rows of ``cut_documents``."""
-    columns = [c for c in pieces.columns if c not in ("whole", "piece_key")]
+    columns = [c for c in pieces.columns if c != "piece_key"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema if f.name in columns)
-    full = pieces.filter("whole").select(
-        *columns, (F.col("piece_key") * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
-    )
     group = F.pmod(F.xxhash64("piece_key"), F.lit(groups))
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("piece_key", ignore_index=True)
         placed = best_fit_decreasing(rows["length"].tolist(), window)
         numbers = np.array([number for number, _ in placed], np.int64)
-        rows["sequence_id"] = (np.int64(key[0]) * (1 << 24) + numbers) * 2
+        rows["sequence_id"] = np.int64(key[0]) * (1 << 24) + numbers
         rows["offset"] = np.array([offset for _, offset in placed], np.int64)
         return rows[[*columns, "sequence_id", "offset"]]
 
-    rest = (
-        pieces.filter("NOT whole")
-        .withColumn("pack_group", group)
-        .groupBy("pack_group")
-        .applyInPandas(run, f"{schema}, sequence_id long, offset long")
-    )
-    return full.unionByName(rest)
+    grouped = pieces.withColumn("pack_group", group).groupBy("pack_group")
+    return grouped.applyInPandas(run, f"{schema}, sequence_id long, offset long")
 
 
 def pack_documents(
@@ -254,7 +252,7 @@ def pack_documents(
 
     With ``with_ids`` the pieces carry their ids, so ``sequences`` can put them together.
     """
-    groups = max(1, -(-docs.count() // GROUP_PIECES))
+    groups = max(1, -(-docs.count() // GROUP_DOCUMENTS))
     pieces = cut_documents(docs, tokenizer_path, id_col, text_col, window, end_id, with_ids)
     return pack(pieces, groups, window)
 
