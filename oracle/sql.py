@@ -7,7 +7,15 @@ doubles; counts are cast to BIGINT and dates to DATE.
 
 from __future__ import annotations
 
-TABLES = """
+# Means of values with few decimal places, in whole units and rounded half up.
+MEAN = "(2 * sum(CAST(round({x} * {f}) AS HUGEINT)) + count({x})) // (2 * count({x})) / {f}::DOUBLE"
+MEAN_SCORE = MEAN.format(x="fraud_probability", f=10000)
+MEAN_AMOUNT = MEAN.format(x="amount", f=100)
+# Predicates that the checks and the log rows share.
+NOT_POSITIVE = "amount <= 0"
+IMPOSSIBLE = "type IN ('TRANSFER', 'CASH_OUT') AND amount > oldbalanceOrg + 1 AND oldbalanceOrg > 0"
+
+TABLES = f"""
 WITH numbered AS (
     SELECT event_id AS k, user_id,
            CAST((day(ts) - 1) * 24 + hour(ts) + 1 AS BIGINT) AS step,
@@ -101,7 +109,7 @@ WITH numbered AS (
            count(*) FILTER (WHERE risk_level = 'MEDIUM') AS medium_risk_count,
            count(*) FILTER (WHERE risk_level = 'LOW') AS low_risk_count,
            round(sum(amount) FILTER (WHERE risk_level <> 'LOW'), 2) AS total_amount_at_risk,
-           round(avg(fraud_probability), 4) AS avg_fraud_probability
+           {MEAN_SCORE} AS avg_fraud_probability
     FROM reported GROUP BY run_date
 ), both_models AS (
     SELECT run_date, isFraud, 'fraud_logistic_regression' AS model_name, pa AS p FROM scored
@@ -110,8 +118,8 @@ WITH numbered AS (
 ), ranked AS (
     SELECT *, rank() OVER by_score + (count(*) OVER same_score - 1) / 2::DOUBLE AS mid_rank
     FROM both_models
-    WINDOW by_score AS (PARTITION BY run_date, model_name ORDER BY round(p, 4)),
-           same_score AS (PARTITION BY run_date, model_name, round(p, 4))
+    WINDOW by_score AS (PARTITION BY run_date, model_name ORDER BY p),
+           same_score AS (PARTITION BY run_date, model_name, p)
 ), counted AS (
     SELECT run_date, model_name, sum(isFraud)::DOUBLE AS pos, sum(1 - isFraud)::DOUBLE AS neg,
            (count(*) FILTER (WHERE p > 0.5 AND isFraud = 1))::DOUBLE AS hit,
@@ -182,28 +190,26 @@ CHECKS = {
         round(sum(isFraud)::DOUBLE / count(*) * 100, 4) AS fraud_pct FROM raw""",
     "dq_null_keys": """SELECT count(*) AS records_found FROM raw
         WHERE amount IS NULL OR nameOrig IS NULL OR nameDest IS NULL OR type IS NULL""",
-    "dq_non_positive_amount": "SELECT count(*) AS records_found FROM raw WHERE NOT amount > 0",
+    "dq_non_positive_amount": f"SELECT count(*) AS records_found FROM raw WHERE {NOT_POSITIVE}",
     "dq_duplicates": f"""SELECT (SELECT count(*) FROM raw) - count(*) AS records_found
         FROM (SELECT DISTINCT {KEY} FROM raw
               WHERE step IS NOT NULL AND nameOrig IS NOT NULL
                 AND amount IS NOT NULL AND nameDest IS NOT NULL)""",
-    "dq_impossible_balance": """SELECT count(*) AS records_found FROM raw
-        WHERE type IN ('TRANSFER', 'CASH_OUT') AND oldbalanceOrg > 0 AND amount - 1 > oldbalanceOrg""",
+    "dq_impossible_balance": f"SELECT count(*) AS records_found FROM raw WHERE {IMPOSSIBLE}",
     "validation_log_rows": f"""
         SELECT {RUN} AS run_date, 'null_amount_records' AS check_name, count(*) AS records_found,
                'Removed nulls' AS action_taken
         FROM raw WHERE amount IS NULL OR nameOrig IS NULL OR nameDest IS NULL OR type IS NULL
         UNION ALL
         SELECT {RUN}, 'negative_amount_records', count(*), 'Removed negatives'
-        FROM raw WHERE amount <= 0
+        FROM raw WHERE {NOT_POSITIVE}
         UNION ALL
         SELECT {RUN}, 'duplicate_records', (SELECT count(*) FROM raw) - count(*), 'Removed duplicates'
         FROM (SELECT DISTINCT {KEY} FROM raw
               WHERE nameOrig IS NOT NULL AND amount IS NOT NULL AND nameDest IS NOT NULL)
         UNION ALL
         SELECT {RUN}, 'impossible_balance', count(*), 'Removed impossible balances'
-        FROM raw WHERE type IN ('TRANSFER', 'CASH_OUT') AND amount > oldbalanceOrg + 1
-                   AND oldbalanceOrg > 0""",
+        FROM raw WHERE {IMPOSSIBLE}""",
     "staging_check": """SELECT count(*) AS clean_rows,
         count(*) FILTER (WHERE isFraud = 1) AS fraud_rows,
         count(*) FILTER (WHERE amount <= 0) AS bad_amount_rows FROM clean""",
@@ -225,17 +231,17 @@ CLEANING = {
 FEATURES = {
     "large_amount_threshold": "SELECT threshold FROM cutoff",
     "build_features": "SELECT * FROM features",
-    "feature_verify": """SELECT count(*) AS total_records, sum(isFraud)::BIGINT AS fraud_count,
+    "feature_verify": f"""SELECT count(*) AS total_records, sum(isFraud)::BIGINT AS fraud_count,
         sum(orig_balance_zero_after)::BIGINT AS zero_balance_orig_count,
         sum(dest_balance_unchanged)::BIGINT AS unchanged_dest_count,
         sum(is_large_transaction)::BIGINT AS large_txn_count,
-        round(avg(amount_to_balance_ratio), 4) AS avg_amount_ratio FROM features""",
+        round(avg(CAST(amount_to_balance_ratio AS DECIMAL(38,10))), 4) AS avg_amount_ratio FROM features""",
     "feature_log_row": f"""SELECT {RUN} AS run_date, count(*) AS total_records,
-        sum(isFraud)::BIGINT AS fraud_records, round(avg(amount), 2) AS avg_amount,
+        sum(isFraud)::BIGINT AS fraud_records, {MEAN_AMOUNT} AS avg_amount,
         sum(is_large_transaction)::BIGINT AS large_txn_count,
         sum(orig_balance_zero_after)::BIGINT AS zero_balance_count FROM features""",
-    "latest_feature_log": """SELECT count(*) AS total_records, sum(isFraud)::BIGINT AS fraud_records,
-        round(avg(amount), 2) AS avg_amount, sum(is_large_transaction)::BIGINT AS large_txn_count,
+    "latest_feature_log": f"""SELECT count(*) AS total_records, sum(isFraud)::BIGINT AS fraud_records,
+        {MEAN_AMOUNT} AS avg_amount, sum(is_large_transaction)::BIGINT AS large_txn_count,
         sum(orig_balance_zero_after)::BIGINT AS zero_balance_count
         FROM features WHERE (step - 1) // 24 = (SELECT max((step - 1) // 24) FROM features)""",
     **{
@@ -263,8 +269,8 @@ METRICS_OF_RUN = """(
                sum(mid_rank) FILTER (WHERE isFraud = 1) AS rank_sum,
                avg(-CASE WHEN isFraud = 1 THEN ln(least(greatest(pa, 0.0001), 0.9999))
                          ELSE ln(1 - least(greatest(pa, 0.0001), 0.9999)) END) AS loss
-        FROM (SELECT *, rank() OVER (ORDER BY round(pa, 4))
-                        + (count(*) OVER (PARTITION BY round(pa, 4)) - 1) / 2::DOUBLE AS mid_rank
+        FROM (SELECT *, rank() OVER (ORDER BY pa)
+                        + (count(*) OVER (PARTITION BY pa) - 1) / 2::DOUBLE AS mid_rank
               FROM scored))"""
 METRIC_COLUMNS = """round(hit / nullif(flagged, 0), 4) AS precision,
         round(hit / nullif(pos, 0), 4) AS recall,
@@ -330,12 +336,12 @@ SCORING = {
         count(*) FILTER (WHERE risk_level = 'MEDIUM') AS medium_risk_count,
         count(*) FILTER (WHERE risk_level = 'LOW') AS low_risk_count,
         {AT_RISK} AS total_amount_at_risk,
-        round(avg(fraud_probability), 4) AS avg_fraud_probability,
+        {MEAN_SCORE} AS avg_fraud_probability,
         'fraud_logistic_regression' AS model_used FROM reported""",
     "daily_summary_history": "SELECT *, 'fraud_logistic_regression' AS model_used FROM summaries",
     "risk_level_hit_rate": f"""SELECT risk_level, count(*) AS total,
         sum(isFraud)::BIGINT AS actual_fraud, {RATES.format(digits=2)} AS hit_rate_pct,
-        round(avg(fraud_probability), 4) AS avg_score
+        {MEAN_SCORE} AS avg_score
         FROM reported GROUP BY risk_level ORDER BY hit_rate_pct DESC, risk_level""",
     "top_risk_transactions": f"""SELECT type, amount, nameOrig, nameDest, fraud_probability,
         risk_level, isFraud FROM reported ORDER BY {BY_SCORE} LIMIT 20""",
@@ -351,7 +357,7 @@ DASHBOARDS = {
         FROM summaries WHERE {AS_OF}""",
     "kpi_amount_at_risk": f"""SELECT round(sum(total_amount_at_risk), 2) AS total_amount_at_risk
         FROM summaries WHERE {AS_OF}""",
-    "kpi_avg_score": f"""SELECT round(avg(avg_fraud_probability), 4) AS avg_fraud_probability
+    "kpi_avg_score": f"""SELECT {MEAN.format(x="avg_fraud_probability", f=10000)} AS avg_fraud_probability
         FROM summaries WHERE {AS_OF}""",
     "daily_risk_trend": """SELECT summary_date, high_risk_count, medium_risk_count, low_risk_count
         FROM summaries ORDER BY summary_date DESC""",
@@ -371,12 +377,12 @@ DASHBOARDS = {
     "top_alert_reasons": """SELECT top_reason, count(*) AS occurrence_count,
         round(count(*) * 100::DOUBLE / (SELECT count(*) FROM alerts), 2) AS pct_of_alerts
         FROM alerts GROUP BY top_reason ORDER BY occurrence_count DESC, top_reason LIMIT 10""",
-    "alerts_by_type": """SELECT type, count(*) AS alert_count,
-        round(sum(amount), 2) AS total_amount_at_risk, round(avg(amount), 2) AS avg_alert_amount,
-        round(avg(fraud_probability), 4) AS avg_fraud_score
+    "alerts_by_type": f"""SELECT type, count(*) AS alert_count,
+        round(sum(amount), 2) AS total_amount_at_risk, {MEAN_AMOUNT} AS avg_alert_amount,
+        {MEAN_SCORE} AS avg_fraud_score
         FROM alerts GROUP BY type ORDER BY total_amount_at_risk DESC, type""",
-    "alerts_by_hour": """SELECT run_hour AS alert_hour, count(*) AS alert_count,
-        round(avg(fraud_probability), 4) AS avg_fraud_probability,
+    "alerts_by_hour": f"""SELECT run_hour AS alert_hour, count(*) AS alert_count,
+        {MEAN_SCORE} AS avg_fraud_probability,
         round(sum(amount), 2) AS total_amount
         FROM alerts GROUP BY run_hour ORDER BY run_hour""",
     "top_risk_accounts": """SELECT nameOrig, count(*) AS alert_count,
@@ -412,9 +418,9 @@ DASHBOARDS = {
     "amount_vs_score": f"""SELECT type, round(amount, 2) AS amount, fraud_probability, risk_level,
         isFraud AS actual_fraud_label FROM reported WHERE fraud_probability > 0.1
         ORDER BY {BY_SCORE} LIMIT 5000""",
-    "filter_date_range": """SELECT type, count(*) AS alert_count,
-        round(sum(amount), 2) AS total_amount_at_risk, round(avg(amount), 2) AS avg_alert_amount,
-        round(avg(fraud_probability), 4) AS avg_fraud_score
+    "filter_date_range": f"""SELECT type, count(*) AS alert_count,
+        round(sum(amount), 2) AS total_amount_at_risk, {MEAN_AMOUNT} AS avg_alert_amount,
+        {MEAN_SCORE} AS avg_fraud_score
         FROM alerts WHERE run_date BETWEEN DATE '2024-01-27' AND DATE '2024-01-29'
         GROUP BY type ORDER BY total_amount_at_risk DESC, type""",
     "filter_date_range_summary": """SELECT summary_date, high_risk_count, medium_risk_count,

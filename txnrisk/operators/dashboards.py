@@ -8,6 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnrisk.functions.exact import rounded_mean
 from txnrisk.functions.scoring import daypart, score_bucket
 from txnrisk.operators.scoring import by_score, on_run_date
 from txnrisk.schemas import RUN_DAY
@@ -68,7 +69,7 @@ def kpi_amount_at_risk(summary: DataFrame, as_of: dt.date | None = None) -> Data
 def kpi_avg_score(summary: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Mean of the daily means, unweighted."""
     return on_run_date(summary, "summary_date", as_of).agg(
-        F.round(F.avg("avg_fraud_probability"), 4).alias("avg_fraud_probability")
+        rounded_mean("avg_fraud_probability", 4).alias("avg_fraud_probability")
     )
 
 
@@ -144,8 +145,8 @@ def alerts_by_type(alerts: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("alert_count"),
             F.round(F.sum("amount"), 2).alias("total_amount_at_risk"),
-            F.round(F.avg("amount"), 2).alias("avg_alert_amount"),
-            F.round(F.avg("fraud_probability"), 4).alias("avg_fraud_score"),
+            rounded_mean("amount", 2).alias("avg_alert_amount"),
+            rounded_mean("fraud_probability", 4).alias("avg_fraud_score"),
         )
         .orderBy(F.col("total_amount_at_risk").desc_nulls_last(), "type")
     )
@@ -156,7 +157,7 @@ def alerts_by_hour(alerts: DataFrame) -> DataFrame:
         alerts.groupBy(F.hour("alert_date").cast("bigint").alias("alert_hour"))
         .agg(
             F.count("*").alias("alert_count"),
-            F.round(F.avg("fraud_probability"), 4).alias("avg_fraud_probability"),
+            rounded_mean("fraud_probability", 4).alias("avg_fraud_probability"),
             F.round(F.sum("amount"), 2).alias("total_amount"),
         )
         .orderBy("alert_hour")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnrisk.functions.exact import DIGITS, order_digits
 from txnrisk.values import (
     DECISION_THRESHOLD,
     DEFAULT_SPLIT_STEP,
@@ -19,13 +20,14 @@ METRICS = ("precision", "recall", "f1_score", "roc_auc", "log_loss")
 
 
 def evaluate_classifier(
-    scored: DataFrame, by: Sequence[str] = (), clamp: float = 1e-15, score_digits: int = 4
+    scored: DataFrame, by: Sequence[str] = (), clamp: float = 1e-15
 ) -> DataFrame:
     """Precision, recall and F1 of the fraud class, ROC AUC and log loss, per ``by`` group.
 
-    Rows are first counted per score rounded to ``score_digits``. That bounds what the
-    ordered sum of the AUC sees to 10,001 rows per group at four digits, whatever the number
-    of scored rows, and no score is too frequent for one task. Equal scores count half.
+    Rows are first counted per score, so no score is too frequent for one task. The AUC counts,
+    for each fraud row, the other rows with a lower score, and half of those with the same. A score is
+    three digits in order: pairs that differ in the last one are counted first, then those that
+    differ in the one before, so an ordered sum sees the values of one digit and never all scores.
     A ratio with an empty denominator is null.
     """
     label = F.col(LABEL).cast("double")
@@ -34,7 +36,7 @@ def evaluate_classifier(
     loss = -F.ln(F.when(F.col(LABEL) == 1, p).otherwise(F.lit(1.0) - p))
     counted = (
         scored.where(F.col(LABEL).isNotNull() & F.col("probability").isNotNull())
-        .groupBy(*by, F.round("probability", score_digits).alias("score"))
+        .groupBy(*by, *order_digits(F.col("probability")))
         .agg(
             F.count("*").cast("double").alias("n"),
             F.sum(label).alias("pos"),
@@ -43,22 +45,28 @@ def evaluate_classifier(
             F.count_if(flagged).cast("double").alias("flagged"),
             F.sum(loss).alias("loss"),
         )
+        .withColumn("pairs_won", F.col("pos") * F.col("neg") / 2)
     )
-    up_to_score = (
-        Window.partitionBy(*by).orderBy("score").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    hit, pos = F.sum("hit"), F.sum("pos")
-    pairs_won = F.sum(F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2))
-    return (
-        counted.withColumn("neg_upto", F.sum("neg").over(up_to_score))
-        .groupBy(*by)
-        .agg(
-            F.try_divide(hit, F.sum("flagged")).alias("precision"),
-            F.try_divide(hit, pos).alias("recall"),
-            F.try_divide(2 * hit, F.sum("flagged") + pos).alias("f1_score"),
-            F.try_divide(pairs_won, pos * F.sum("neg")).alias("roc_auc"),
-            F.try_divide(F.sum("loss"), F.sum("n")).alias("log_loss"),
+    totals = ("n", "pos", "neg", "hit", "flagged", "loss", "pairs_won")
+    for depth in reversed(range(len(DIGITS))):
+        around = [*by, *DIGITS[:depth]]
+        lower = (
+            Window.partitionBy(*around).orderBy(DIGITS[depth]).rowsBetween(Window.unboundedPreceding, -1)
+        )
+        beaten = F.coalesce(F.sum("neg").over(lower), F.lit(0.0))
+        counted = (
+            counted.withColumn("pairs_won", F.col("pairs_won") + F.col("pos") * beaten)
+            .groupBy(*around)
+            .agg(*[F.sum(c).alias(c) for c in totals])
         )
+    hit, pos = F.col("hit"), F.col("pos")
+    return counted.select(
+        *by,
+        F.try_divide(hit, F.col("flagged")).alias("precision"),
+        F.try_divide(hit, pos).alias("recall"),
+        F.try_divide(2 * hit, F.col("flagged") + pos).alias("f1_score"),
+        F.try_divide(F.col("pairs_won"), pos * F.col("neg")).alias("roc_auc"),
+        F.try_divide(F.col("loss"), F.col("n")).alias("log_loss"),
     )
 
 

@@ -70,12 +70,11 @@ def class_weights(
     return df.withColumn(name, weight)
 
 
-def _auto_split(train: DataFrame, rows: int) -> DataFrame:
-    """Mark held-out rows: none below 500 rows, 20 % up to 50,000, then 10,000 in all.
+def hold_out(train: DataFrame, share: float) -> DataFrame:
+    """Mark about that share of the rows as held out.
 
     A hash of the row key decides, so a row keeps its side when a task is run again.
     """
-    share = 0.0 if rows < 500 else 0.2 if rows <= 50_000 else 10_000 / rows
     slices = 1_000_000_000
     slot = F.pmod(F.xxhash64(*TRANSACTION_KEY, F.lit(SEED)), F.lit(slices))
     return train.withColumn(VALIDATION, slot < int(share * slices))
@@ -117,36 +116,42 @@ def train_boosted_tree(
     rounds: int = 20,
     max_depth: int = 6,
     learn_rate: float = 0.1,
-    min_split_loss: float = 0.01,
+    min_info_gain: float = 0.0,
+    holdout_share: float = 0.2,
 ) -> PipelineModel:
     """Gradient-boosted trees on balanced classes, stopped early on held-out rows.
 
     One tree is grown per round: Spark has no counterpart to several parallel trees in a
-    round, so the number of rounds is the parameter. The split loss is a sum over rows and
-    ``minInfoGain`` a mean, so it is divided by the number of rows.
+    round, so the number of rounds is the parameter. ``min_info_gain`` is the least mean gain
+    of a split. ``holdout_share`` of the rows decide the early stop, whatever the number of rows;
+    with 0, or when that leaves one side empty, all rows train and all rounds are run.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    labelled = _labelled(train, *TRANSACTION_KEY)
-    size = labelled.count()
+    marked = hold_out(class_weights(_labelled(train, *TRANSACTION_KEY)), holdout_share)
     classifier = GBTClassifier(
         featuresCol="features_vector",
         labelCol=LABEL,
         weightCol=WEIGHT,
-        validationIndicatorCol=VALIDATION,
         maxIter=rounds,
         maxDepth=max_depth,
         stepSize=learn_rate,
-        minInfoGain=min_split_loss / max(size, 1),
+        minInfoGain=min_info_gain,
         cacheNodeIds=True,
         seed=SEED,
     )
-    return _fit_classifier(_auto_split(class_weights(labelled), size), classifier)
+    held_out = F.col(VALIDATION)
+    if not (marked.where(held_out).isEmpty() or marked.where(~held_out).isEmpty()):
+        classifier.setValidationIndicatorCol(VALIDATION)
+    return _fit_classifier(marked, classifier)
 
 
 def train_random_forest(
     train: DataFrame, trees: int = 10, max_depth: int = 4, subsample: float = 0.8
 ) -> PipelineModel:
-    """Random forest on balanced classes."""
+    """Random forest on balanced classes.
+
+    Every row trains: a forest has no early stop, so nothing is held out automatically.
+    """
     ensure_checkpoint_dir(train.sparkSession)
     classifier = RandomForestClassifier(
         featuresCol="features_vector",

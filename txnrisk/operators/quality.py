@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txnrisk.functions.exact import rounded_mean
 from txnrisk.values import (
     FEATURE_CHECKS,
     MAX_FRAUD_PCT,
@@ -149,7 +150,7 @@ def feature_verify(features: DataFrame) -> DataFrame:
         F.count_if(F.col("orig_balance_zero_after") == 1).alias("zero_balance_orig_count"),
         F.count_if(F.col("dest_balance_unchanged") == 1).alias("unchanged_dest_count"),
         F.count_if(F.col("is_large_transaction") == 1).alias("large_txn_count"),
-        F.round(F.avg("amount_to_balance_ratio"), 4).alias("avg_amount_ratio"),
+        rounded_mean("amount_to_balance_ratio", 4).alias("avg_amount_ratio"),
     )
 
 
@@ -157,7 +158,7 @@ def _feature_log_columns() -> list[Column]:
     return [
         F.count("*").alias("total_records"),
         F.count_if(F.col("isFraud") == 1).alias("fraud_records"),
-        F.round(F.avg("amount"), 2).alias("avg_amount"),
+        rounded_mean("amount", 2).alias("avg_amount"),
         F.count_if(F.col("is_large_transaction") == 1).alias("large_txn_count"),
         F.count_if(F.col("orig_balance_zero_after") == 1).alias("zero_balance_count"),
     ]
@@ -173,8 +174,11 @@ def feature_log_rows(features: DataFrame, run_ts: Column) -> DataFrame:
 
 
 def latest_feature_log(feature_log: DataFrame) -> DataFrame:
+    """The newest row; of several with its run time, the one with most records and then values."""
+    others = [c for c in feature_log.columns if c not in ("run_date", "total_records")]
+    newest = (F.col(c).desc_nulls_last() for c in ("run_date", "total_records", *others))
     return (
-        feature_log.orderBy(F.col("run_date").desc())
+        feature_log.orderBy(*newest)
         .limit(1)
         .select(
             "total_records", "fraud_records", "avg_amount", "large_txn_count", "zero_balance_count"

@@ -4,68 +4,42 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS_PER_E_FOLD = 1000
-
-
-def _magnitude_bucket(value: Column) -> Column:
-    """Bucket number that never decreases with the value.
-
-    Buckets are about 0.1 % wide, so all doubles together fall into fewer than 1.5 million
-    and amounts up to a trillion into fewer than 28,000.
-    """
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * BUCKETS_PER_E_FOLD)
+from txnrisk.functions.exact import DIGITS, order_digits
 
 
 def exact_quantile(df: DataFrame, column: str, q: float, name: str = "threshold") -> DataFrame:
     """One row: the smallest value whose cumulative share of the non-null rows reaches ``q``.
 
-    Two passes that only shuffle counts. The first counts rows per magnitude bucket and finds
-    the bucket that holds the wanted rank; the second counts rows per distinct value inside
-    that bucket and walks to the rank. The ordered sums therefore see bucket counts and the
-    distinct values of a single bucket, never the rows: an amount in cents has at most a tenth
-    as many distinct values in its bucket as the amount itself, and a value that fills a third
-    of the table is one row after the map-side count.
+    A double is three digits in order. Each pass counts the rows per digit inside the cell found
+    so far and walks to the digit that holds the wanted rank, so an ordered sum never sees more than
+    the digit's four million values, however many rows or distinct values lie close together, and a
+    value that fills a third of the table is one row after the map-side count.
     """
-    values = (
-        df.where(F.col(column).isNotNull())
-        .select(F.col(column).cast("double").alias("value"))
-        .withColumn("bucket", _magnitude_bucket(F.col("value")))
-    )
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("value"))
+    values = values.select("value", *order_digits(F.col("value")))
+    everything = Window.partitionBy()
     # Decimal, so that seven hundredths of a hundred rows are seven rows and not eight.
-    share = F.lit(Decimal(str(q)))
-    up_to_bucket = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        values.groupBy("bucket")
-        .agg(F.count("*").alias("n"))
-        .select(
-            "bucket",
-            "n",
-            F.sum("n").over(up_to_bucket).alias("upto"),
-            F.ceil(share * F.sum("n").over(Window.partitionBy())).cast("bigint").alias("rank"),
-        )
-    )
-    target = (
-        ranked.where((F.col("upto") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
-        .select(
-            F.struct(
-                "bucket",
-                (F.col("rank") - F.col("upto") + F.col("n")).alias("rank_inside"),
-            ).alias("target")
+    rank = F.ceil(F.lit(Decimal(str(q))) * F.sum("n").over(everything)).cast("bigint")
+    inside, known = values, []
+    for depth, digit in enumerate(DIGITS):
+        up_to = Window.orderBy(digit).rowsBetween(Window.unboundedPreceding, 0)
+        counted = (
+            inside.groupBy(*known, digit)
+            .agg(F.count("*").alias("n"), F.min("value").alias("value"))
+            .withColumn("upto", F.sum("n").over(up_to))
+            .withColumn("rank", rank)
         )
-        .scalar()
-    )
-    up_to_value = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        values.where(F.col("bucket") == target.getField("bucket"))
-        .groupBy("value")
-        .agg(F.count("*").alias("n"))
-        .withColumn("upto", F.sum("n").over(up_to_value))
-        .where(F.col("upto") >= target.getField("rank_inside"))
-        .agg(F.min("value").alias(name))
-    )
+        found = counted.where((F.col("upto") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
+        if depth == len(DIGITS) - 1:
+            return found.agg(F.min("value").alias(name))
+        rest = (F.col("rank") - F.col("upto") + F.col("n")).alias("rank_inside")
+        outer = list(DIGITS[: depth + 1])
+        # One row.
+        inside = values.join(F.broadcast(found.select(*outer, rest)), outer)
+        known, rank = [*outer, "rank_inside"], F.col("rank_inside")
 
 
 def approx_quantile(

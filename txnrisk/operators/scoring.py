@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txnrisk.functions.exact import rounded_mean
 from txnrisk.functions.features import flag
 from txnrisk.functions.scoring import (
     linear_probability,
@@ -143,7 +144,7 @@ def _summary_columns() -> list[Column]:
         F.count_if(F.col("risk_level") == MEDIUM).alias("medium_risk_count"),
         F.count_if(F.col("risk_level") == LOW).alias("low_risk_count"),
         F.round(F.sum(at_risk), 2).alias("total_amount_at_risk"),
-        F.round(F.avg("fraud_probability"), 4).alias("avg_fraud_probability"),
+        rounded_mean("fraud_probability", 4).alias("avg_fraud_probability"),
     ]
 
 
@@ -178,7 +179,7 @@ def risk_level_hit_rate(predictions: DataFrame, run_date: dt.date | None = None)
             F.count("*").alias("total"),
             fraud.alias("actual_fraud"),
             F.round(fraud / F.count("*") * 100, 2).alias("hit_rate_pct"),
-            F.round(F.avg("fraud_probability"), 4).alias("avg_score"),
+            rounded_mean("fraud_probability", 4).alias("avg_score"),
         )
         .orderBy(F.col("hit_rate_pct").desc(), "risk_level")
     )
