@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import string
 from collections import Counter, defaultdict
@@ -88,3 +89,53 @@ def near_lines(docs: list[tuple[int, str | None]], least: int = 5, edited: int =
         if words(rest):
             left[doc] = rest
     return left
+
+
+def shares(budget: int, children: dict[str, tuple[int, float]]) -> dict[str, int]:
+    """The budget of each child (capacity, weight): full ones go out until the rest can take their shares."""
+    found, open_ones, left = {}, dict(children), float(budget)
+    while True:
+        total = sum(weight for _, weight in open_ones.values())
+        full = {name: c for name, (c, weight) in open_ones.items() if c * total <= left * weight}
+        if not full:
+            return found | {name: int(left * weight // total) for name, (_, weight) in open_ones.items()}
+        found |= full
+        left -= sum(full.values())
+        open_ones = {name: child for name, child in open_ones.items() if name not in full}
+
+
+def mixed(docs: list[tuple], weights: dict[str, int], total: int | None, max_epochs: int, seed: int) -> Counter:
+    """Documents (id, text, three names) taken, as (id, epoch, tokens taken)."""
+
+    def md5(text: str) -> str:
+        return hashlib.md5(text.encode()).hexdigest()
+
+    leaves = defaultdict(list)
+    for doc, text, *path in docs:
+        if words(text):
+            leaves[tuple(name or "" for name in path)].append((doc, text, len(words(text))))
+    supply = {path: sum(n for *_, n in leaf) for path, leaf in leaves.items()}
+    budgets = {(): sum(supply.values()) if total is None else total}
+    for depth in range(3):
+        below = {}
+        for parent, budget in budgets.items():
+            children = defaultdict(int)
+            for path in supply:
+                if path[:depth] == parent:
+                    children[path[depth]] += supply[path] * max_epochs
+            weighed = {
+                name: (c, float(weights.get("/".join((*parent, name)), weights.get(f"*/{name}", 1))))
+                for name, c in children.items()
+            }
+            below |= {(*parent, name): share for name, share in shares(budget, weighed).items()}
+        budgets = below
+    taken = Counter()
+    for path, leaf in leaves.items():
+        epochs, rest = divmod(budgets[path], supply[path])
+        taken.update((doc, epoch, n) for doc, _, n in leaf for epoch in range(epochs))
+        for doc, text, n in sorted(leaf, key=lambda d: md5(f"{seed}:{epochs}:{d[0]}") + md5(d[1])):
+            if rest <= 0:
+                break
+            taken[doc, epochs, min(rest, n)] += 1
+            rest -= n
+    return taken

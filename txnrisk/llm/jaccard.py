@@ -410,4 +410,4 @@ def keep_one_of_each(
     """``docs`` without those linked to a smaller id; rows that repeat an id are kept or left out together."""
     found = link_components(docs, like, id_col, text_col)
     gone = found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("gone_id")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("gone_id"), "left_anti")
+    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")

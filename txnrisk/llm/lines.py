@@ -249,19 +249,20 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated lines cut from the text, without the documents that have no word left."""
-    gone = repeated_lines(docs, id_col, text_col).select(
-        F.col("doc").alias("cut_doc"), F.col("text_hash").alias("cut_hash"), F.col("gone").alias("cut_lines")
-    )
-    on = (F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)) == F.col("cut_doc")) & (
-        F.xxhash64(text_col) == F.col("cut_hash")
+    text = F.col("row")[text_col]
+    # Each document travels as one column, so that no name can clash.
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"),
+        F.xxhash64(text_col).alias("text_hash"),
     )
-    lines = F.split(text_col, "\n", -1)
-    numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("cut_lines"))
+    lines = F.split(text, "\n", -1)
+    numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     rest = F.array_join(F.transform(numbers, lambda i: F.get(lines, i)), "\n")
-    joined = docs.join(gone, on, "left")
-    cut = F.col("cut_doc").isNotNull()
+    cut = F.col("gone").isNotNull()
     return (
-        joined.withColumn(text_col, F.when(cut, rest).otherwise(F.col(text_col)))
-        .filter(~cut | F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
-        .drop("cut_doc", "cut_hash", "cut_lines")
+        rows.join(repeated_lines(docs, id_col, text_col), ["doc", "text_hash"], "left")
+        .withColumn("body", F.when(cut, rest).otherwise(text))
+        .filter(~cut | F.col("body").rlike(r"[^\x20\x09-\x0D]"))
+        .select(*[(F.col("body") if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
     )

@@ -159,18 +159,20 @@ def _taken(rows: DataFrame, cuts: DataFrame, plan: Plan, id_col: str) -> DataFra
     )
 
 
-def _prepared(docs: DataFrame, domain: Column, tokens: Column, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+def _prepared(docs: DataFrame, domain: Column, tokens: Column, id_col: str, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    """Each document as ``row``, apart from the columns worked out here, so that no name can clash."""
+
     def name(column: Column) -> Column:
         return F.coalesce(column.cast("string"), F.lit(""))
 
-    return docs.withColumns(
-        {
-            "leaf_domain": name(domain),
-            "leaf_lang": name(F.col(lang_col)),
-            "leaf_source": name(F.col(source_col)),
-            "mix_tokens": F.coalesce(tokens.cast("long"), F.lit(0)),
-            "mix_md5": F.md5(F.coalesce(F.col(text_col), F.lit(""))),
-        }
+    return docs.select(
+        F.struct("*").alias("row"),
+        F.col(id_col).alias("mix_id"),
+        name(domain).alias("leaf_domain"),
+        name(F.col(lang_col)).alias("leaf_lang"),
+        name(F.col(source_col)).alias("leaf_source"),
+        F.coalesce(tokens.cast("long"), F.lit(0)).alias("mix_tokens"),
+        F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("mix_md5"),
     )
 
 
@@ -178,9 +180,9 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
 
 
-def _sizes(prepared: DataFrame, id_col: str) -> DataFrame:
+def _sizes(prepared: DataFrame) -> DataFrame:
     return prepared.select(
-        id_col,
+        "mix_id",
         *[F.col(f"leaf_{name}").alias(name) for name in LEVELS],
         F.col("mix_tokens").alias("n_tokens"),
         F.col("mix_md5").alias("text_md5"),
@@ -203,9 +205,9 @@ def mix(
     finds the table of leaves small enough to broadcast.
     """
     tokens = word_count(F.col(text_col)) if tokens is None else tokens
-    prepared = _prepared(docs, domain, tokens, text_col, lang_col, source_col)
-    cuts = leaf_cuts(stored(_sizes(prepared, id_col), "mix-sizes"), plan, id_col)
-    return _taken(prepared, cuts, plan, id_col).select(*docs.columns)
+    prepared = _prepared(docs, domain, tokens, id_col, text_col, lang_col, source_col)
+    cuts = leaf_cuts(stored(_sizes(prepared), "mix-sizes"), plan, "mix_id")
+    return _taken(prepared, cuts, plan, "mix_id").select("row.*")
 
 
 def selection(
@@ -220,17 +222,17 @@ def selection(
 ) -> DataFrame:
     """What ``mix`` takes, without the texts: the leaf, the epoch and the tokens taken of each document."""
     tokens = word_count(F.col(text_col)) if tokens is None else tokens
-    prepared = _prepared(docs, domain, tokens, text_col, lang_col, source_col)
-    sizes = stored(_sizes(prepared, id_col), "mix-sizes")
-    cuts = leaf_cuts(sizes, plan, id_col)
+    prepared = _prepared(docs, domain, tokens, id_col, text_col, lang_col, source_col)
+    sizes = stored(_sizes(prepared), "mix-sizes")
+    cuts = leaf_cuts(sizes, plan, "mix_id")
     rows = sizes.select(
-        id_col,
+        "mix_id",
         *[F.col(name).alias(f"leaf_{name}") for name in LEVELS],
         F.col("n_tokens").alias("mix_tokens"),
         F.col("text_md5").alias("mix_md5"),
     )
-    return _taken(rows, cuts, plan, id_col).select(
-        id_col,
+    return _taken(rows, cuts, plan, "mix_id").select(
+        F.col("mix_id").alias(id_col),
         *[F.col(f"leaf_{name}").alias(name) for name in LEVELS],
         F.col("mix_epoch").cast("long").alias("epoch"),
         F.col("mix_tokens").alias("n_tokens"),
