@@ -36,13 +36,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnrisk.llm.components import connected
-from txnrisk.llm.tables import stored
+from txnrisk.llm.tables import bound_batches, stored
 from txnrisk.llm.words import BASE, STEP, document_shingles, mix, slices
 
 CLASS_RATIO = 1.6
 #: From this size on, a part needs two shingles to be worth a key.
 STRONG_FROM = 24
 FILTER_BITS = 1 << 24
+#: Nodes of which a task remembers that it has sent them on; it starts anew beyond this many.
+REMEMBERED_NODES = 1 << 18
 #: Nodes and shingles that one group of a cluster holds about.
 GROUP_NODES = 2048
 GROUP_SHINGLES = 4_000_000
@@ -247,12 +249,20 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, like: Likeness) ->
     return texts.mapInArrow(run, f"doc {kind}, n_shingles long, node long")
 
 
-def _distinct_sets(part: pa.RecordBatch, like: Likeness) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """The different non-empty sets of a batch, their nodes, and a row of each."""
+def _distinct_sets(
+    part: pa.RecordBatch, like: Likeness, sent: set[int]
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The different non-empty sets of a batch, their nodes, and a row of each; none that is in ``sent``.
+
+    A node with many copies is thus sent on about once by each task.
+    """
     sets = document_shingles(part.column("body"), like.shingle_words)
     nodes = np.array([set_hash(s) for s in sets], np.uint64)
     _, rows = np.unique(nodes, return_index=True)
-    rows = np.array([i for i in rows if len(sets[i])], np.int64)
+    rows = np.array([i for i in rows if len(sets[i]) and int(nodes[i]) not in sent], np.int64)
+    if len(sent) > REMEMBERED_NODES:
+        sent.clear()
+    sent.update(nodes[rows].tolist())
     return [sets[i] for i in rows], nodes[rows], rows
 
 
@@ -260,9 +270,10 @@ def _candidates(docs: DataFrame, text_col: str, like: Likeness) -> DataFrame:
     """Edges between nodes that share a part: each node of a part with the least node of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
         for batch in batches:
             for part in slices(batch, "body"):
-                sets, nodes, _ = _distinct_sets(part, like)
+                sets, nodes, _ = _distinct_sets(part, like, sent)
                 keys, owners = part_keys(sets, nodes, like)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.astype(np.int64)), pa.array(owners.astype(np.int64))], ["key", "node"]
@@ -294,9 +305,10 @@ def _node_texts(docs: DataFrame, text_col: str, nodes: DataFrame, like: Likeness
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
+        sent: set[int] = set()
         for batch in batches:
             for part in slices(batch, "body"):
-                _, found, rows = _distinct_sets(part, like)
+                _, found, rows = _distinct_sets(part, like, sent)
                 at = (found % np.uint64(FILTER_BITS)).astype(np.int64)
                 hit = (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
                 yield pa.RecordBatch.from_arrays(
@@ -385,6 +397,7 @@ def link_components(
     docs: DataFrame, like: Likeness, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: its id, ``n_shingles`` and ``component_id``, the least id linked to it."""
+    bound_batches(docs.sparkSession)
     members = stored(_signatures(docs, id_col, text_col, like), "signatures")
     nodes = members.filter("n_shingles > 0").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.min("doc").alias("least"), F.count("*").alias("copies"))
     nodes = stored(nodes, "nodes")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnrisk.llm.tables import shared_dir
+from txnrisk.llm.tables import bound_batches, shared_dir
 from txnrisk.llm.words import (
     BASE,
     INVERSE,
@@ -199,6 +199,7 @@ def _shared_parts(parts: DataFrame) -> bytes:
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The numbers of the lines to remove, one row per document that has any: ``doc``, ``text_hash``, ``gone``."""
     spark = docs.sparkSession
+    bound_batches(spark)
     texts = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"),
         F.xxhash64(text_col).alias("text_hash"),

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txnrisk.llm.tables import bound_batches
 from txnrisk.llm.words import LOWER, Spans, buffers, slices, word_bounds, worker_cache
 
 WINDOW = 4096
@@ -135,6 +136,7 @@ def cut_documents(
     gives the same numbers.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    bound_batches(docs.sparkSession)
     schema = (
         f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
         "piece_key long" + (", ids array<int>" if with_ids else "")

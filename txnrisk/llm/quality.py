@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from txnrisk.llm.tables import bound_batches
 from txnrisk.llm.words import STEP, Spans, buffers, mix, owners, slices, windows, word_bounds
 
 SYMBOLS = b"#*$%&|<>"
@@ -123,6 +124,7 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
 def quality_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id, the measures and the verdict."""
     kind = docs.schema[id_col].dataType.simpleString()
+    bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,6 +139,7 @@ def quality_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that pass, with all their columns."""
+    bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from txnrisk.sources.tables import shared_dir
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_DEFAULT = "67108864b"
+BATCH_BYTES = 4 << 20
+
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
@@ -22,3 +26,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of a batch that goes to Python, unless the session says how many.
+
+    Batches are counted in rows otherwise, so long texts make large ones.
+    """
+    if spark.conf.get(BATCH_SETTING, None) in (None, BATCH_DEFAULT):
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 STEP = np.uint64(0xD6E8FEB86659FD93)
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, 9, 10, 11, 12, 13]] = True
