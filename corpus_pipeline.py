@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that repeat an earlier one, up to one word."""
-    return with_length(lines.drop_repeated_lines(docs))
+    """Texts without the lines, of any length, that repeat an earlier one, up to one word."""
+    return with_length(lines.drop_repeated_lines(docs, min_words=1))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,8 @@ candidate: their words are dealt by hash into three parts, of which one edit lea
 untouched. Only lines of which a part occurs in another line emit their keys. Shared parts
 travel as a bitmap of fixed size; a false hit costs keys but changes nothing.
 
-Defined results: lines of fewer than ``MIN_WORDS`` words stay; null and empty texts stay as they
+Defined results: lines of fewer than ``min_words`` words stay, so with 1 every line that has a word
+counts; null and empty texts stay as they
 are; a document that loses all its words goes, one that had none stays; rows that repeat both id and
 text count as one document and are cut alike; null ids come last; extra columns are kept.
 """
@@ -58,7 +59,7 @@ SCHEMA = "kind int, key long, role int, line_hash long, doc long, text_hash long
 class Lines:
     """The lines with enough words of a batch of texts, in order of document and line."""
 
-    def __init__(self, texts: pa.Array, ids: np.ndarray, text_hash: np.ndarray):
+    def __init__(self, texts: pa.Array, ids: np.ndarray, text_hash: np.ndarray, min_words: int):
         data, offsets = buffers(texts)
         data = LOWER[data]
         starts, ends, bounds = word_bounds(data, offsets)
@@ -71,7 +72,7 @@ class Lines:
         new[1:] = (line[1:] != line[:-1]) | (document[1:] != document[:-1])
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(starts))
-        enough = last - first >= MIN_WORDS
+        enough = last - first >= min_words
         self.first, self.last = first[enough], last[enough]
         owner = document[self.first]
         number = line[self.first] - np.searchsorted(feeds, offsets[owner])
@@ -146,21 +147,24 @@ class Lines:
             yield self.rows(WITNESS, keys[rest], roles[rest], line[rest], earliest)
 
 
-def _read(part: pa.RecordBatch) -> Lines:
+def _read(part: pa.RecordBatch, min_words: int) -> Lines:
     ids = part.column("doc").to_numpy(zero_copy_only=False)
-    return Lines(part.column("body"), ids, part.column("text_hash").to_numpy(zero_copy_only=False))
+    return Lines(part.column("body"), ids, part.column("text_hash").to_numpy(zero_copy_only=False), min_words)
 
 
-def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "body"):
-            lines = _read(part)
-            every = np.arange(len(lines.hash))
-            yield lines.rows(LINE, lines.hash, WHOLE, every, every)
-            yield from lines.neighbours(every[(lines.count >= EDIT_WORDS) & (lines.count <= LONG_WORDS)])
-            long = lines.distinct(every[lines.count >= LONG_WORDS])
-            keys = lines.parts(long)
-            yield lines.rows(PART, keys.ravel(), 0, np.repeat(long, PARTS), np.repeat(long, PARTS))
+def _first_pass(min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "body"):
+                lines = _read(part, min_words)
+                every = np.arange(len(lines.hash))
+                yield lines.rows(LINE, lines.hash, WHOLE, every, every)
+                yield from lines.neighbours(every[(lines.count >= EDIT_WORDS) & (lines.count <= LONG_WORDS)])
+                long = lines.distinct(every[lines.count >= LONG_WORDS])
+                keys = lines.parts(long)
+                yield lines.rows(PART, keys.ravel(), 0, np.repeat(long, PARTS), np.repeat(long, PARTS))
+
+    return run
 
 
 def _second_pass(shared):
@@ -168,7 +172,7 @@ def _second_pass(shared):
         bits = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             for part in slices(batch, "body"):
-                lines = _read(part)
+                lines = _read(part, LONG_WORDS)
                 long = lines.distinct(np.flatnonzero(lines.count > LONG_WORDS))
                 at = (lines.parts(long) % np.uint64(SHARED_BITS)).astype(np.int64)
                 hit = (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).any(axis=1)
@@ -196,7 +200,9 @@ def _shared_parts(parts: DataFrame) -> bytes:
     return bytes(found)
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS
+) -> DataFrame:
     """The numbers of the lines to remove, one row per document that has any: ``doc``, ``text_hash``, ``gone``."""
     spark = docs.sparkSession
     bound_batches(spark)
@@ -206,7 +212,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col(text_col).alias("body"),
     )
     path = f"{shared_dir(spark)}/lines-{uuid.uuid4().hex}"
-    texts.mapInArrow(_first_pass, SCHEMA).write.partitionBy("kind").parquet(path)
+    texts.mapInArrow(_first_pass(min_words), SCHEMA).write.partitionBy("kind").parquet(path)
     found = spark.read.schema(SCHEMA).parquet(path)
     shared = spark.sparkContext.broadcast(_shared_parts(found.filter(F.col("kind") == PART)))
     long = texts.mapInArrow(_second_pass(shared), SCHEMA)
@@ -248,7 +254,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
-def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_repeated_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS
+) -> DataFrame:
     """``docs`` with repeated lines cut from the text, without the documents that have no word left."""
     text = F.col("row")[text_col]
     # Each document travels as one column, so that no name can clash.
@@ -262,7 +270,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rest = F.array_join(F.transform(numbers, lambda i: F.get(lines, i)), "\n")
     cut = F.col("gone").isNotNull()
     return (
-        rows.join(repeated_lines(docs, id_col, text_col), ["doc", "text_hash"], "left")
+        rows.join(repeated_lines(docs, id_col, text_col, min_words), ["doc", "text_hash"], "left")
         .withColumn("body", F.when(cut, rest).otherwise(text))
         .filter(~cut | F.col("body").rlike(r"[^\x20\x09-\x0D]"))
         .select(*[(F.col("body") if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])

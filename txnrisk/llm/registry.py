@@ -77,9 +77,9 @@ def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents without the lines that repeat an earlier one up to one word."""
+    """The documents without the lines, of any length, that repeat an earlier one up to one word."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    return lines.drop_repeated_lines(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+    return lines.drop_repeated_lines(docs, min_words=1).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
