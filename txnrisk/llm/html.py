@@ -45,7 +45,7 @@ RAW_TAGS = frozenset("script style textarea xmp noembed noframes iframe title".s
 HIDDEN_TAGS = frozenset("head noscript template svg math select button object canvas audio video datalist".split())
 BOILER_TAGS = frozenset("nav footer aside form menu dialog search".split())
 TEXT_ROOTS = frozenset("article main".split())
-#: Parts of class, id or role values that name boilerplate.
+#: Class, id or role names of boilerplate, whole or beside qualifiers.
 BOILER_NAMES = frozenset(
     """ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies
     consent gdpr notice notices alert popup modal overlay sidebar sidebars menu menus nav navbar navigation breadcrumb
@@ -53,13 +53,24 @@ BOILER_NAMES = frozenset(
     sharing social newsletter subscribe subscription signup login comment comments respond reply replies disqus
     skip copyright complementary contentinfo""".split()
 )
+#: Named elements that stay boilerplate around an article: its comments, menus and sidebars.
+STRICT_NAMES = frozenset(
+    """comment comments respond reply replies disqus menu menus nav navbar navigation breadcrumb breadcrumbs
+    pagination pager sidebar sidebars widget widgets related recommended recommendations complementary""".split()
+)
+#: Parts that may stand beside those names in a hyphenated one, as in site-footer or comment-list.
+QUALIFIERS = frozenset(
+    """site main top bottom left right primary secondary global box block bar list links buttons section area slot
+    unit form item items posts articles""".split()
+)
 PAGE_HEADERS = frozenset("header site-header page-header top-bar topbar".split())
-NAME = re.compile(r"[a-z]+")
+PART = re.compile(r"[-_]+")
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*)>?",
     re.S,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+HIDDEN, WRAPPER, STRICT = "hidden", "wrapper", "strict"
 SPACE = re.compile(r"\s+")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -81,17 +92,34 @@ class Block:
         return SPACE.sub(" ", "".join(self.parts)).strip()
 
 
-def _names_boiler(attributes: str, in_root: bool) -> bool:
+def _named(value: str, in_root: bool) -> str:
+    """What the names of a class, id or role value make of an element; hyphenated ones count as a whole."""
+    found = ""
+    for name in value.split():
+        parts = {name} if name in BOILER_NAMES else {part for part in PART.split(name) if part}
+        known = parts & BOILER_NAMES
+        if known and known | QUALIFIERS >= parts:
+            if known & STRICT_NAMES:
+                return STRICT
+            found = WRAPPER
+        elif not in_root and name in PAGE_HEADERS:
+            found = WRAPPER
+    return found
+
+
+def _marked(attributes: str, tag: str, in_root: bool) -> str:
+    """Whether attributes hide an element or name it as boilerplate, strictly or up to an article inside.
+
+    An article or main is hidden by its attributes only, never named.
+    """
+    found = ""
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name in ("class", "id", "role"):
-            if not BOILER_NAMES.isdisjoint(NAME.findall(value)):
-                return True
-            if not in_root and not PAGE_HEADERS.isdisjoint(value.split()):
-                return True
-    return False
+            return HIDDEN
+        if name in ("class", "id", "role") and tag not in TEXT_ROOTS and found != STRICT:
+            found = _named(value, in_root) or found
+    return found
 
 
 def blocks(page: str) -> Iterator[Block]:
@@ -144,11 +172,13 @@ def blocks(page: str) -> Iterator[Block]:
             links += tag == "a"
             stack.append((tag, hidden, boiler, root))
             hidden = hidden or tag in HIDDEN_TAGS
-            if tag in TEXT_ROOTS and boiler in ("", "form"):  # a form may hold the whole page
+            if tag in TEXT_ROOTS and boiler in ("", WRAPPER):  # a form or a named wrapper may hold the whole page
                 root, boiler = True, ""
-            named = attributes and tag not in ("html", "body") and _names_boiler(attributes, root)
-            if not boiler and (named or tag in BOILER_TAGS or (tag == "header" and not root)):
-                boiler = tag
+            marked = _marked(attributes, tag, root) if attributes and tag not in ("html", "body") else ""
+            if marked in (HIDDEN, STRICT) or (tag in BOILER_TAGS and tag != "form") or (tag == "header" and not root):
+                boiler = STRICT
+            elif marked or tag == "form":
+                boiler = boiler or WRAPPER
         if tag in BLOCK_TAGS:
             block = Block(tag, root)
         elif not block.parts:
