@@ -2,8 +2,9 @@
 
 A page is cut into blocks at block-level tags. The first pass classifies each block by itself:
 containers of menus, adverts and the like are boilerplate, as are blocks made of links; long blocks
-with enough stop words are text; what is short or in between stays open. The second pass gives
-open blocks the label of the nearest decided neighbours. Pages are independent rows: nothing is
+with enough stop words, or in a script that has none here, are text; what is short or in between
+stays open. The second pass gives open blocks the label of the nearest decided neighbours; on a page
+without an article and without decided text, all blocks that are not boilerplate are text. Pages are independent rows: nothing is
 shuffled, and each task holds a batch of pages.
 
 Defined results: null, empty or textless html gives an empty string; broken markup is read as far
@@ -31,7 +32,11 @@ STOP_WORDS = frozenset(
     de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce il sont avec ou son
     aux d l on mais nous vous ses leur cette elle être fait
     el y los del se las por con no una su para es al lo como más o pero sus le ha me si sin sobre este ya entre
-    cuando todo esta ser dos también fue había era muy años hasta desde""".split()
+    cuando todo esta ser dos también fue había era muy años hasta desde
+    il lo gli di che è non per una sono della del nel alla anche ma come più questo
+    o os e do da em um uma não com para mais ao pelo seu sua
+    het een van niet zijn dat op te voor met aan ook bij naar
+    och att det som på är av för inte till ett jag w na się nie jest""".split()
 )
 
 BLOCK_TAGS = frozenset(
@@ -73,6 +78,10 @@ ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?"
 HIDDEN, WRAPPER, STRICT = "hidden", "wrapper", "strict"
 SPACE = re.compile(r"\s+")
 WORD = re.compile(r"[^\W\d_]+")
+#: Letters beyond the Latin ones, which no stop word has, and those of scripts that leave no space between words.
+FOREIGN = re.compile(r"[^\W\d_\u0000-\u024f\u1e00-\u1eff]")
+UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+UNSPACED_WORD = 2
 
 LONG_WORDS = 12
 MIN_STOP_SHARE = 0.08
@@ -198,6 +207,11 @@ def first_pass(block: Block, text: str, has_root: bool) -> str:
     if text.startswith("©") and not block.in_root:
         return BAD
     words = WORD.findall(text.lower())
+    if not text.isascii():
+        length = len(words) + len(UNSPACED.findall(text)) // UNSPACED_WORD
+        letters = sum(map(len, words))
+        if length >= LONG_WORDS and 2 * len(FOREIGN.findall(text)) > letters:
+            return GOOD
     if len(words) < LONG_WORDS:
         return OPEN
     stops = sum(word in STOP_WORDS for word in words)
@@ -244,6 +258,8 @@ def main_text(page: str | None) -> str:
     if has_root:  # an advert inside an article says nothing about its neighbours
         found = [(block, text) for block, text in found if not block.closed_off]
     labels = [first_pass(block, text, has_root) for block, text in found]
+    if not has_root and GOOD not in labels:  # short or in another language: length and links decide alone
+        labels = [GOOD if label == OPEN else label for label in labels]
     labels = second_pass(labels, [block.in_root for block, _ in found])
     return "\n\n".join(text for (_, text), label in zip(found, labels) if label == GOOD)
 
