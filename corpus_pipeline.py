@@ -31,8 +31,8 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many tokens as there are, in the target proportions; rows repeat by epoch."""
-    return mixing.mix(docs, MIX, domain_of(F.col("source")))
+    """As many tokens as there are, in the target proportions; rows repeat by epoch, the last of a leaf cut."""
+    return with_length(mixing.mix(docs, MIX, domain_of(F.col("source"))))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

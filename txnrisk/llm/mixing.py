@@ -17,6 +17,7 @@ together; an empty table gives an empty result; extra columns are kept by ``mix`
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -180,6 +181,12 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
 
 
+def first_words(text: Column, count: Column) -> Column:
+    """``text`` up to the end of its word number ``count``, from 1, as it is written."""
+    pieces = F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    return F.array_join(F.slice(pieces, F.lit(1), count.cast("int")), "")
+
+
 def _sizes(prepared: DataFrame) -> DataFrame:
     return prepared.select(
         "mix_id",
@@ -198,16 +205,26 @@ def mix(
     text_col: str = "text",
     lang_col: str = "lang",
     source_col: str = "source",
+    cut: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """The documents to train on, one row for each epoch that takes it, with the columns of ``docs``.
 
+    The text at which a leaf's budget ends is cut to the tokens that are left. Tokens other than words
+    need a ``cut`` that shortens a text to a number of them. Other columns stay, also a length.
     Sizes are worked out once and stored; the texts themselves are not shuffled as long as Spark
     finds the table of leaves small enough to broadcast.
     """
+    if tokens is not None and cut is None:
+        raise ValueError("tokens other than words need a cut")
+    cut = cut or first_words
     tokens = word_count(F.col(text_col)) if tokens is None else tokens
     prepared = _prepared(docs, domain, tokens, id_col, text_col, lang_col, source_col)
     cuts = leaf_cuts(stored(_sizes(prepared), "mix-sizes"), plan, "mix_id")
-    return _taken(prepared, cuts, plan, "mix_id").select("row.*")
+    text, count = F.col("row")[text_col], F.col("take_tokens")
+    text = F.when(count < F.col("mix_tokens"), cut(text, count)).otherwise(text)
+    return _taken(prepared, cuts, plan, "mix_id").select(
+        *[(text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns]
+    )
 
 
 def selection(
