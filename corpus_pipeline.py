@@ -26,8 +26,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles."""
-    return jaccard.keep_one_of_each(docs, jaccard.Likeness(5, 80, 100))
+    """One row of each group linked by five-word shingles, whatever its id."""
+    return jaccard.keep_one_row_of_each(docs, jaccard.Likeness(5, 80, 100))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -424,3 +424,41 @@ def keep_one_of_each(
     found = link_components(docs, like, id_col, text_col)
     gone = found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("gone_id")).distinct()
     return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
+
+
+def keep_one_row_of_each(
+    docs: DataFrame, like: Likeness, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The first row of each group of linked rows, and one of the rows that repeat id and text.
+
+    Decides by row, so ids may be null or shared. The first has the smallest id, nulls last, then text
+    hash; rows that repeat both are ordered by a hash of all columns.
+    """
+    plain = [name for name, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    rows = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("row_key"))
+    rows = stored(rows, "rows")  # a row keeps its key from here on
+    row = F.col("row")
+    place = F.struct(
+        row[id_col].isNull().alias("nameless"),
+        row[id_col].alias("id"),
+        F.xxhash64(row[text_col]).alias("text_hash"),
+        F.xxhash64(*[row[name] for name in plain]).alias("row_hash"),
+        "row_key",
+    ).alias("place")
+    found = link_components(rows.select(place, row[text_col].alias("body")), like, "place", "body")
+    found = stored(found, "row-components")
+    linked = found.filter(F.col("component_id.row_key") != F.col("place.row_key")).select("place.row_key")
+    # Texts without words are linked with nothing, but rows that repeat one are still repeats.
+    same = ["place.nameless", "place.id", "place.text_hash"]
+    key = F.struct(*same).alias("same")
+    textless = found.filter("n_shingles = 0").select("place", F.xxhash64(key).alias("group"), key)
+    firsts = textless.groupBy("group", "same").agg(F.min("place").alias("first"), F.count("*").alias("copies"))
+    firsts = firsts.filter("copies > 1").select("group", F.col("same").alias("first_same"), "first")
+    repeats = (
+        textless.join(firsts, "group")
+        .filter(F.col("same").eqNullSafe(F.col("first_same")) & (F.col("place.row_key") != F.col("first.row_key")))
+        .select("place.row_key")
+    )
+    return rows.join(linked.unionByName(repeats), "row_key", "left_anti").select(
+        *[row[name].alias(name) for name in docs.columns]
+    )
