@@ -1,13 +1,13 @@
 """URL filters: mined association rules over URL tokens, and explicit rules for hosts and paths.
 
-Spark's FP-growth finds token combinations that are frequent among labelled URLs. Combinations that
-mostly belong to blocked ones become rules; a rule is pruned if a part of it is as confident.
+The combinations of up to ``MAX_RULE_TOKENS`` tokens of labelled URLs are counted. Those that belong to
+blocked ones clearly more often than URLs at large, beyond chance, become rules; a rule is pruned if a
+part of it is as confident.
 Each rule is indexed under its rarest token: a URL meets only rules indexed under one of its
 tokens, and fits those whose other tokens it has as well.
 
-Rules have at most ``MAX_RULE_TOKENS`` tokens and a support of at least ``MIN_SUPPORT`` of the
-labelled rows, which bounds their number for any input; Spark still decides by size whether to
-broadcast them.
+Each combination is in at least ``MIN_ROWS`` labelled rows; Spark decides by size whether to broadcast
+the rules.
 
 Defined results: a null or unreadable URL has an empty host and path, no tokens and no rule, and is
 allowed; repeated rows are judged alike; without labels nothing is mined; extra columns are ignored.
@@ -16,11 +16,13 @@ allowed; repeated rows are judged alike; without labels nothing is mined; extra
 from __future__ import annotations
 
 from itertools import combinations
+from math import log
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txnrisk.llm.tables import stored
+
 #: Part of the host, start of the path, verdict.
 EXPLICIT = [
     ("org", "/", "allow"),
@@ -29,10 +31,13 @@ EXPLICIT = [
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 ]
-MIN_SUPPORT = 0.005
-#: And at least this many labelled rows, below which a confidence says little.
-MIN_ROWS = 20
-MIN_CONFIDENCE = 0.6
+#: Labelled rows that a combination must be in, whatever their number in all.
+MIN_ROWS = 5
+#: The least share of blocked rows of a rule, as a multiple of that of all rows; for a high share
+#: of all rows, the least divisor of the share that is not blocked.
+MIN_LIFT = 1.5
+#: The chance that any combination at all becomes a rule if labels are dealt out at random, at most.
+MAX_CHANCE = 0.05
 MAX_RULE_TOKENS = 3
 BASKET_TOKENS = 12
 BLOCKED = "\N{WHITE SQUARE}blocked"
@@ -71,35 +76,65 @@ def mine_rules(
     labelled: DataFrame,
     tokens_col: str = "tokens",
     blocked_col: str = "blocked",
-    min_support: float = MIN_SUPPORT,
-    min_confidence: float = MIN_CONFIDENCE,
     max_tokens: int = MAX_RULE_TOKENS,
     basket_tokens: int = BASKET_TOKENS,
     min_rows: int = MIN_ROWS,
+    min_lift: float = MIN_LIFT,
+    max_chance: float = MAX_CHANCE,
 ) -> DataFrame:
     """Pruned rules: ``rule_tokens``, ``index_token``, ``support`` and ``confidence``.
 
-    A basket is a URL's first ``basket_tokens`` tokens, host first, and its label if blocked.
+    A basket is a URL's first ``basket_tokens`` tokens, host first. The chance of a share of blocked
+    rows as high as a rule's is bounded by Chernoff, and that of any among all combinations by their number.
     """
-    label = F.when(F.col(blocked_col), F.array(F.lit(BLOCKED))).otherwise(F.array().cast("array<string>"))
-    baskets = labelled.select(F.concat(F.slice(tokens_col, 1, basket_tokens), label).alias("items"))
-    support = min(1.0, max(min_support, min_rows / max(1, baskets.count())))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.filter(
-        (F.col("consequent") == F.array(F.lit(BLOCKED))) & (F.size("antecedent") <= max_tokens)
-    ).select(F.sort_array("antecedent").alias("rule_tokens"), "support", "confidence")
-    single = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
+    blocked = F.coalesce(F.col(blocked_col), F.lit(False)).cast("long").alias("blocked")
+    baskets = labelled.select(F.array_sort(F.array_distinct(F.slice(tokens_col, 1, basket_tokens))).alias("items"), blocked)
+    baskets = stored(baskets, "url-baskets")
+    counts = stored(_combinations(baskets, max_tokens, min_rows), "url-combinations")
+    total, base = baskets.agg(F.count("*"), F.avg("blocked")).first()
+    tests = counts.count()
+    if not tests or not 0 < base < 1:
+        return counts.select("rule_tokens", F.lit("").alias("index_token"), "support", "confidence").limit(0)
+    share = F.col("confidence")
+    evidence = F.col("rows") * (
+        share * F.ln(share / base) + F.when(share < 1, (1 - share) * F.ln((1 - share) / (1 - base))).otherwise(0.0)
+    )
+    rules = (
+        counts.filter(share > base)
+        .filter(share >= min(base * min_lift, 1 - (1 - base) / min_lift))
+        .filter(evidence >= log(tests / max_chance))
+        .select("rule_tokens", (F.col("support") / total).alias("support"), "confidence")
+    )
+    single = counts.filter(F.size("rule_tokens") == 1).select(F.col("rule_tokens")[0].alias("token"), "rows")
     rarest = (
         rules.select("rule_tokens", F.explode("rule_tokens").alias("token"))
         .join(single, "token")
         .groupBy("rule_tokens")
-        .agg(F.min_by("token", F.struct("freq", "token")).alias("index_token"))
+        .agg(F.min_by("token", F.struct("rows", "token")).alias("index_token"))
     )
     return prune(rules, max_tokens).join(rarest, "rule_tokens").select(
         "rule_tokens", "index_token", "support", "confidence"
     )
 
 
+def _combinations(baskets: DataFrame, max_tokens: int, min_rows: int) -> DataFrame:
+    """Rows, blocked rows as ``support`` and their share of every combination in enough rows."""
+    level = baskets.select("items", "blocked", F.explode("items").alias("last")).withColumn("rule_tokens", F.array("last"))
+    every = level
+    for _ in range(1, max_tokens):
+        later = F.filter("items", lambda item: item > F.col("last"))
+        level = level.select("items", "blocked", "rule_tokens", F.explode(later).alias("last")).select(
+            "items", "blocked", "last", F.concat("rule_tokens", F.array("last")).alias("rule_tokens")
+        )
+        every = every.unionByName(level)
+    return (
+        every.groupBy("rule_tokens")
+        .agg(F.count("*").alias("rows"), F.sum("blocked").cast("double").alias("support"))
+        .filter(F.col("rows") >= min_rows)
+        .withColumn("confidence", F.col("support") / F.col("rows"))
+    )
+
+
 def prune(rules: DataFrame, max_tokens: int = MAX_RULE_TOKENS) -> DataFrame:
     """Leave out each rule of which a part is a rule as confident as the whole."""
     parts = [c for size in range(1, max_tokens) for c in combinations(range(max_tokens), size)]
