@@ -38,3 +38,10 @@ def test_given_pages(spark):
     told = told.withColumn("blocked", F.array_contains("tokens", "h:www"))
     verdicts = urls.judge(pages, urls.mine_rules(told)).filter("rule IS NULL").groupBy("verdict").count().collect()
     assert {r.verdict for r in verdicts} == {"block", "allow"}
+
+
+def test_rule_in_the_tail_of_a_long_url(spark):
+    deep = [f"p:d{i}" for i in range(30)]
+    rows = [(["h:site", *deep, "p:bad"], True) for _ in range(20)] + [(["h:site", *deep, "p:fine", f"p:x{i}"], False) for i in range(60)]
+    mined = urls.mine_rules(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [r.rule_tokens for r in mined] == [["p:bad"]]

@@ -39,7 +39,6 @@ MIN_LIFT = 1.5
 #: The chance that any combination at all becomes a rule if labels are dealt out at random, at most.
 MAX_CHANCE = 0.05
 MAX_RULE_TOKENS = 3
-BASKET_TOKENS = 12
 BLOCKED = "\N{WHITE SQUARE}blocked"
 NUMBER = "#"
 
@@ -77,19 +76,19 @@ def mine_rules(
     tokens_col: str = "tokens",
     blocked_col: str = "blocked",
     max_tokens: int = MAX_RULE_TOKENS,
-    basket_tokens: int = BASKET_TOKENS,
     min_rows: int = MIN_ROWS,
     min_lift: float = MIN_LIFT,
     max_chance: float = MAX_CHANCE,
 ) -> DataFrame:
     """Pruned rules: ``rule_tokens``, ``index_token``, ``support`` and ``confidence``.
 
-    A basket is a URL's first ``basket_tokens`` tokens, host first. The chance of a share of blocked
+    A basket has all tokens of a URL that are in ``min_rows`` baskets. The chance of a share of blocked
     rows as high as a rule's is bounded by Chernoff, and that of any among all combinations by their number.
     """
     blocked = F.coalesce(F.col(blocked_col), F.lit(False)).cast("long").alias("blocked")
-    baskets = labelled.select(F.array_sort(F.array_distinct(F.slice(tokens_col, 1, basket_tokens))).alias("items"), blocked)
+    baskets = labelled.select(F.array_sort(F.array_distinct(tokens_col)).alias("items"), blocked)
     baskets = stored(baskets, "url-baskets")
+    baskets = stored(_frequent(baskets, min_rows), "url-frequent")
     counts = stored(_combinations(baskets, max_tokens, min_rows), "url-combinations")
     total, base = baskets.agg(F.count("*"), F.avg("blocked")).first()
     tests = counts.count()
@@ -117,6 +116,18 @@ def mine_rules(
     )
 
 
+def _frequent(baskets: DataFrame, min_rows: int) -> DataFrame:
+    """The baskets without the tokens in too few of them, which no combination in enough rows has."""
+    tokens = baskets.withColumn("row_key", F.monotonically_increasing_id()).withColumn("token", F.explode_outer("items"))
+    frequent = tokens.groupBy("token").agg(F.count("*").alias("rows")).filter(F.col("rows") >= min_rows).select("token", "rows")
+    return (
+        tokens.join(frequent, "token", "left")
+        .groupBy("row_key")
+        .agg(F.array_sort(F.collect_list(F.when(F.col("rows").isNotNull(), F.col("token")))).alias("items"), F.first("blocked").alias("blocked"))
+        .select("items", "blocked")
+    )
+
+
 def _combinations(baskets: DataFrame, max_tokens: int, min_rows: int) -> DataFrame:
     """Rows, blocked rows as ``support`` and their share of every combination in enough rows."""
     level = baskets.select("items", "blocked", F.explode("items").alias("last")).withColumn("rule_tokens", F.array("last"))
