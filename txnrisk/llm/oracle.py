@@ -73,4 +73,46 @@ UNION ALL
 SELECT doc_id, domain, lang, source, epochs, n_tokens, least(n_tokens, rest - before) FROM last_epoch WHERE before < rest
 """
 
-SQL = {"op2_mixing": MIXING}
+DIVERGENCE = """
+WITH doc AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents
+),
+seen AS (SELECT doc, lang, source, unnest(terms) AS term FROM doc),
+kept AS (SELECT lang, term FROM seen GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+lang_size AS (SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+term_count AS (
+  SELECT lang, source, term, count(*)::HUGEINT AS n FROM seen JOIN kept USING (lang, term) GROUP BY lang, source, term
+),
+lang_count AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM term_count GROUP BY lang, term),
+lang_total AS (SELECT lang, sum(n)::HUGEINT AS total FROM lang_count GROUP BY lang),
+member AS (
+  SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang, source FROM doc) LEFT JOIN term_count USING (lang, source) GROUP BY lang, source
+),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 2)) // (g.total + 2 * s.v) AS p
+  FROM member g JOIN kept k USING (lang) JOIN lang_size s USING (lang)
+  LEFT JOIN term_count c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         coalesce((SELECT sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) FROM p x JOIN p y USING (lang, term)
+                   WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+  FROM member a JOIN member b ON a.lang = b.lang AND a.source <> b.source
+),
+term AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value
+  FROM (
+    SELECT p.lang, p.source, p.term, p.p, 1 + (1000000000 * (l.n + 2)) // (t.total + 2 * s.v) AS q
+    FROM p JOIN lang_count l USING (lang, term) JOIN lang_total t USING (lang) JOIN lang_size s USING (lang) WHERE p.n > 0
+  ) WHERE p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM (SELECT * FROM pair UNION ALL SELECT * FROM term) QUALIFY part = 'pair' OR rank <= 10
+"""
+
+SQL = {"op2_mixing": MIXING, "op12_source_divergence": DIVERGENCE}

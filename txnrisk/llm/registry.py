@@ -5,10 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
-from txnrisk.llm import fingerprints, html, jaccard, language, lines, mixing, oracle, packing, quality, secrets, urls
+from txnrisk.llm import (
+    alignment,
+    divergence,
+    fingerprints,
+    html,
+    jaccard,
+    language,
+    lines,
+    mixing,
+    oracle,
+    packing,
+    quality,
+    secrets,
+    urls,
+)
 from txnrisk.llm.tables import read
 
 
@@ -93,6 +106,17 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return pages.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """How the tokens of two tokenizers cover each document, with corpus counts of linked ids."""
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return alignment.align_documents(read(spark, folder, "documents"), *paths)
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How far the sources of each language lie apart, and the terms that set each source off."""
+    return divergence.audit(read(spark, folder, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -105,6 +129,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_html_extraction": op10_html_extraction,
+        "op11_token_alignment": op11_token_alignment,
+        "op12_source_divergence": op12_source_divergence,
     }
 
 
