@@ -115,4 +115,18 @@ SELECT lang, source, part, item, value::BIGINT AS value,
 FROM (SELECT * FROM pair UNION ALL SELECT * FROM term) QUALIFY part = 'pair' OR rank <= 10
 """
 
-SQL = {"op2_mixing": MIXING, "op12_source_divergence": DIVERGENCE}
+WARC = """
+WITH payload AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+),
+first_page AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM payload
+),
+record AS (SELECT *, first IS NOT NULL AND page_id IS DISTINCT FROM first AS again FROM first_page)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first END AS refers_to
+FROM record
+"""
+
+SQL = {"op2_mixing": MIXING, "op12_source_divergence": DIVERGENCE, "op13_warc": WARC}

@@ -21,6 +21,7 @@ from txnrisk.llm import (
     quality,
     secrets,
     urls,
+    warc,
 )
 from txnrisk.llm.tables import read
 
@@ -117,6 +118,11 @@ def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(read(spark, folder, "documents"))
 
 
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """What the WARC archives of all pages hold, looked up by URL and read back."""
+    return warc.round_trip(read(spark, folder, "pages").select("page_id", "url", "html"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -131,6 +137,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_html_extraction": op10_html_extraction,
         "op11_token_alignment": op11_token_alignment,
         "op12_source_divergence": op12_source_divergence,
+        "op13_warc": op13_warc,
     }
 
 
