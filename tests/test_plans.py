@@ -5,13 +5,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_point
 from tests.conftest import SMALL
 from txnrisk.operators import cleaning, evaluation, models, scoring
+from txnrisk.operators.features import large_amount_threshold
+from txnrisk.plans.registry import all_queries
 from txnrisk.plans.tables import RunTables
 from txnrisk.sources.tables import materialize
 
-QUERIES = entry_point.queries()
+QUERIES = all_queries()
 
 
 def plan(df) -> str:
@@ -63,17 +64,50 @@ def test_split_reaches_the_scan_with_few_columns(stored):
     assert "ReadSchema: struct<step:bigint,type:string>" in text
 
 
-def test_threshold_passes_shuffle_counts_only(stored):
-    from txnrisk.operators.features import large_amount_threshold
+def test_threshold_reads_the_rows_once(spark, monkeypatch):
+    """The rows are counted by value in one pass; nothing else of the table is read or moved."""
+    from txnrisk.operators import quantiles
 
-    text = plan(large_amount_threshold(stored))
-    assert "ReadSchema: struct<amount:double>" in text
-    for keys in re.findall(r"Exchange hashpartitioning\((\w+)#", text):
-        assert keys in ("value", "bucket")
+    stored_counts = []
 
+    def spy(df, label):
+        stored_counts.append(plan(df))
+        return materialize(df, label)
 
-def test_feature_table_shares_the_deduplication_with_its_threshold(spark):
-    assert "ReusedExchange" in executed(RunTables(spark, SMALL).features)
+    monkeypatch.setattr(quantiles, "materialize", spy)
+    clean = materialize(RunTables(spark, SMALL).clean, "clean")
+    found = large_amount_threshold(clean)
+    (text,) = stored_counts
+    assert text.count("FileScan") == 1 and "ReadSchema: struct<amount:double>" in text
+    assert text.count("Exchange") == 1 and "partial_count(1)" in text.split("Exchange")[1]
+    assert "FileScan" not in plan(found) and "Exchange" not in plan(found)
+
+
+def test_ordered_steps_of_the_threshold_are_small(spark, monkeypatch):
+    """Values that lie close together are cut into finer ranges before any of them is put in order."""
+    from txnrisk.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "CELL_VALUES", 50)
+    sizes = []
+    at_rank = quantiles._at_rank
+
+    def spy(counts, order, rank):
+        sizes.append(counts.count())
+        return at_rank(counts, order, rank)
+
+    monkeypatch.setattr(quantiles, "_at_rank", spy)
+    values = sorted([1.0 + i * 2.0**-40 for i in range(20_000)] * 2 + [float(i) for i in range(300)])
+    frame = spark.createDataFrame([(v,) for v in values], "amount double")
+    for q in (0.1, 0.5, 0.9):
+        assert quantiles.exact_quantile(frame, "amount", q).first().threshold == values[int(q * len(values)) - 1]
+    assert len(sizes) > 6 and max(sizes) <= 4096
+
+
+def test_threshold_is_a_value_in_the_plans_that_use_it(spark):
+    """The deduplication is planned once, for the rows themselves, however often the threshold is needed."""
+    tables = RunTables(spark, SMALL)
+    for frame in (tables.features, tables.alerts):
+        assert plan(frame).count("WindowGroupLimit") == plan(tables.clean).count("WindowGroupLimit")
 
 
 def test_reports_limit_without_a_full_sort(spark):
@@ -82,12 +116,11 @@ def test_reports_limit_without_a_full_sort(spark):
 
 
 def test_auc_orders_scores_not_rows(spark):
-    """Below the ordered sum there is a partial count per rounded score."""
+    """Below the ordered sums there is a partial count per score."""
     tables = RunTables(spark, SMALL)
     text = plan(evaluation.evaluate_classifier(tables.scored))
-    below_window = text.split("Window [", 1)[1]
-    assert "windowspecdefinition(score#" in below_window
-    assert "partial_count(1)" in below_window.split("WindowGroupLimit")[0]
+    below_ordered_sums = text.rsplit("Window [sum(neg", 1)[1]
+    assert "partial_count(1)" in below_ordered_sums.split("WindowGroupLimit")[0]
 
 
 def test_carried_predictions_need_no_join(stored):

@@ -82,8 +82,7 @@ def test_hot_score(raw):
         F.when(F.col("nameOrig") == "C0", 0.3).otherwise(F.rand(3)).alias("probability"),
     ).withColumn("predicted_isFraud", (F.col("probability") > 0.5).cast("bigint")).cache()
     rows = scored.toPandas()
-    score = rows.probability.round(4)
-    ranks = score.rank(method="average")
+    ranks = rows.probability.rank(method="average")
     positives, negatives = rows.isFraud.sum(), (1 - rows.isFraud).sum()
     won = ranks[rows.isFraud == 1].sum() - positives * (positives + 1) / 2
     found = evaluate_classifier(scored).first()

@@ -7,39 +7,52 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnrisk.functions.exact import DIGITS, order_digits
+from txnrisk.functions.exact import digit_names, order_digits
+from txnrisk.sources.tables import materialize
+
+#: Bits of each digit of a double: the first takes 64 values a binade, the others 4096 or 2048.
+CELL_BITS = (6, 12, 12, 12, 11)
+#: Distinct values that one task may put in order.
+CELL_VALUES = 4096
 
 
 def exact_quantile(df: DataFrame, column: str, q: float, name: str = "threshold") -> DataFrame:
-    """One row: the smallest value whose cumulative share of the non-null rows reaches ``q``.
+    """One row: the smallest value whose cumulative share of the non-null rows reaches ``q``; null without any.
+
+    A prefix count over ranges. One pass over the rows counts each distinct value and stores the counts. Their sums
+    per range of values are a small table, whose running sum shows the range that holds the wanted rank; only the
+    values of that range are then put in order. A range with more than ``CELL_VALUES`` values is
+    cut into finer ones first, so no task ever orders more than a few thousand rows, however close the values
+    lie together, and a value that fills a third of the table is one row after the map-side count.
 
-    A double is three digits in order. Each pass counts the rows per digit inside the cell found
-    so far and walks to the digit that holds the wanted rank, so an ordered sum never sees more than
-    the digit's four million values, however many rows or distinct values lie close together, and a
-    value that fills a third of the table is one row after the map-side count.
+    The result is worked out when this is called, and is a frame of one known value.
     """
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("value"))
-    values = values.select("value", *order_digits(F.col("value")))
-    everything = Window.partitionBy()
+    value = F.col(column).cast("double")
+    counted = df.where(value.isNotNull()).groupBy(value.alias("value")).agg(F.count("*").alias("n"))
+    digits = digit_names(CELL_BITS)
+    inside = materialize(counted.select("*", *order_digits(F.col("value"), CELL_BITS)), "value-counts")
     # Decimal, so that seven hundredths of a hundred rows are seven rows and not eight.
-    rank = F.ceil(F.lit(Decimal(str(q))) * F.sum("n").over(everything)).cast("bigint")
-    inside, known = values, []
-    for depth, digit in enumerate(DIGITS):
-        up_to = Window.orderBy(digit).rowsBetween(Window.unboundedPreceding, 0)
-        counted = (
-            inside.groupBy(*known, digit)
-            .agg(F.count("*").alias("n"), F.min("value").alias("value"))
-            .withColumn("upto", F.sum("n").over(up_to))
-            .withColumn("rank", rank)
-        )
-        found = counted.where((F.col("upto") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
-        if depth == len(DIGITS) - 1:
-            return found.agg(F.min("value").alias(name))
-        rest = (F.col("rank") - F.col("upto") + F.col("n")).alias("rank_inside")
-        outer = list(DIGITS[: depth + 1])
-        # One row.
-        inside = values.join(F.broadcast(found.select(*outer, rest)), outer)
-        known, rank = [*outer, "rank_inside"], F.col("rank_inside")
+    rank = F.ceil(F.lit(Decimal(str(q))) * F.sum("n").over(Window.partitionBy())).cast("bigint")
+    found = None
+    for digit in digits:
+        ranges = inside.groupBy(digit).agg(F.sum("n").alias("n"), F.count("*").alias("values"))
+        hit = _at_rank(ranges, digit, rank)
+        if hit is None:
+            break
+        inside = inside.where(F.col(digit) == hit[digit])
+        rank = F.lit(hit["rank"] - hit["upto"] + hit["n"])
+        if hit["values"] <= CELL_VALUES:
+            break
+    if hit is not None:
+        found = _at_rank(inside.select("value", "n"), "value", rank)["value"]
+    return df.sparkSession.createDataFrame([(found,)], f"{name} double")
+
+
+def _at_rank(counts: DataFrame, order: str, rank) -> dict | None:
+    """The row of ``counts`` (``n`` rows each) in which the running sum reaches the rank."""
+    up_to = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    walked = counts.withColumn("upto", F.sum("n").over(up_to)).withColumn("rank", rank)
+    return walked.where((F.col("upto") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("upto"))).first()
 
 
 def approx_quantile(
