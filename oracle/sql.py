@@ -278,7 +278,71 @@ METRIC_COLUMNS = """round(hit / nullif(flagged, 0), 4) AS precision,
         round((rank_sum - pos * (pos + 1) / 2) / nullif(pos * neg, 0), 4) AS roc_auc,
         round(loss, 4) AS log_loss"""
 
+# The given ensembles of trees, a CASE for each tree.
+FOREST = """((CASE WHEN orig_balance_zero_after <= 0.5
+                THEN CASE WHEN balance_diff_orig <= -100 THEN 0.125 ELSE 0.03125 END
+                ELSE CASE WHEN is_transfer_or_cashout <= 0.5 THEN 0.25 ELSE 0.875 END END
+         + CASE WHEN type_encoded <= 1.5 THEN 0.0625 WHEN type_encoded > 3.5 THEN 0.1875
+                WHEN amount_to_balance_ratio <= 0.95::DOUBLE THEN 0.3125 ELSE 0.9375 END
+         + CASE WHEN hour_of_step <= 11 THEN 0.375 WHEN net_dest_change <= 0 THEN 0.4375 ELSE 0.5 END)::DOUBLE / 3)"""
+BOOSTED = """1 / (1 + exp(-2 * (
+           CASE WHEN orig_balance_zero_after <= 0.5 THEN CASE WHEN net_orig_change <= 60 THEN -0.9375 ELSE -0.75 END
+                ELSE CASE WHEN is_transfer_or_cashout <= 0.5 THEN -0.5 ELSE 0.6875 END END
+         + CASE WHEN dest_balance_unchanged <= 0.5 THEN -0.0625 WHEN is_large_transaction <= 0.5 THEN 0.09375
+                ELSE 0.21875 END
+         + CASE WHEN balance_diff_dest <= -50 THEN 0.03125 ELSE -0.015625 END)::DOUBLE))"""
+LINEAR = """1 / (1 + exp(-(-4::DOUBLE + 2.5::DOUBLE * orig_balance_zero_after + 1::DOUBLE * dest_balance_unchanged
+             + 1.5::DOUBLE * is_transfer_or_cashout + 1.2::DOUBLE * is_large_transaction
+             + 0.05::DOUBLE * amount_to_balance_ratio + (-0.002)::DOUBLE * balance_diff_orig
+             + 0.01::DOUBLE * hour_of_step)))"""
+FEATURE_NAMES = [
+    "balance_diff_orig", "balance_diff_dest", "orig_balance_zero_after", "dest_balance_unchanged",
+    "amount_to_balance_ratio", "is_large_transaction", "hour_of_step", "type_encoded",
+    "is_transfer_or_cashout", "net_orig_change", "net_dest_change",
+]
+MOVED = ", ".join(f"CASE WHEN v.feature = '{f}' THEN b.{f} ELSE a.{f} END AS {f}" for f in FEATURE_NAMES)
+# Each feature's values move along a random order of the rows by a number of places of its own.
+ATTRIBUTIONS = """
+    , in_order AS (
+        SELECT *, row_number() OVER (ORDER BY md5('42:' || step || '|' || nameOrig || '|'
+                    || CAST(round(amount * 100) AS BIGINT) || '|' || nameDest)) - 1 AS place, count(*) OVER () AS n
+        FROM features WHERE step > 600
+    ), variants AS (
+        SELECT feature, 1 + ('0x' || substr(md5('42:' || feature), 1, 7))::BIGINT % (SELECT count(*) - 1 FROM in_order) AS places
+        FROM (SELECT unnest({names}) AS feature)
+        UNION ALL SELECT '', 0
+    ), with_moved AS (
+        SELECT v.feature, a.isFraud, {moved}
+        FROM in_order a CROSS JOIN variants v JOIN in_order b ON b.place = (a.place + v.places) % a.n
+    ), losses AS (
+        SELECT feature, avg(-CASE WHEN isFraud = 1 THEN ln(least(greatest(p, 0.0001), 0.9999))
+                                  ELSE ln(1 - least(greatest(p, 0.0001), 0.9999)) END) AS loss
+        FROM (SELECT feature, isFraud, {model} AS p FROM with_moved) GROUP BY feature
+    )
+    SELECT feature, round(loss - (SELECT loss FROM losses WHERE feature = ''), 6) AS attribution
+    FROM losses WHERE feature <> '' ORDER BY attribution DESC, feature"""
+
 MODELS = {
+    "train_logistic": f"""SELECT unnest({["__INTERCEPT__", *FEATURE_NAMES]}) AS feature,
+        (SELECT count(*) FROM features WHERE step <= 600) AS rows, true AS optimal""",
+    "train_kmeans": """SELECT 'fraud_kmeans_anomaly' AS model_name, 8::BIGINT AS clusters, count(*) AS rows,
+        true AS settled FROM features WHERE step <= 600""",
+    "predict": "\nUNION ALL\n".join(
+        f"""SELECT {KEY}, '{name}' AS model_name, CAST({model} > 0.5 AS BIGINT) AS predicted_isFraud,
+        round({model}, 4) AS probability FROM features WHERE step > 600"""
+        for name, model in (
+            ("fraud_logistic_regression", LINEAR),
+            ("fraud_random_forest", FOREST),
+            ("fraud_boosted_tree", BOOSTED),
+        )
+    ),
+    "model_weights": """SELECT feature, weight FROM (VALUES ('__INTERCEPT__', -4::DOUBLE),
+            ('orig_balance_zero_after', 2.5::DOUBLE), ('dest_balance_unchanged', 1::DOUBLE),
+            ('is_transfer_or_cashout', 1.5::DOUBLE), ('is_large_transaction', 1.2::DOUBLE),
+            ('amount_to_balance_ratio', 0.05::DOUBLE), ('balance_diff_orig', -0.002::DOUBLE),
+            ('hour_of_step', 0.01::DOUBLE)) AS w(feature, weight) ORDER BY abs(weight) DESC, feature LIMIT 5""",
+    "global_explain": ATTRIBUTIONS.format(names=FEATURE_NAMES, moved=MOVED, model=LINEAR),
+    "global_explain_boosted": ATTRIBUTIONS.format(names=FEATURE_NAMES, moved=MOVED, model=BOOSTED),
     "split_by_step": f"""SELECT {KEY}, CASE WHEN step > 600 THEN 'eval' ELSE 'train' END AS split
         FROM clean""",
     "split_by_step_100": f"""SELECT {KEY}, CASE WHEN step > 100 THEN 'eval' ELSE 'train' END AS split

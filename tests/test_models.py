@@ -1,5 +1,8 @@
 """Training, saving, and the metrics against Spark's own evaluators."""
 
+import hashlib
+import math
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -8,7 +11,11 @@ from pyspark.sql import functions as F
 
 from tests.conftest import MEDIUM
 from txnrisk.operators import models
+from txnrisk.operators.certificates import lloyd_step, logistic_gradient
 from txnrisk.operators.evaluation import evaluate_classifier
+from txnrisk.operators.explain import shift
+from txnrisk.operators.model_rows import LINEAR, ModelRows, Weight, model_rows
+from txnrisk.operators.ranks import numbered
 from txnrisk.plans.tables import RunTables
 from txnrisk.sources.tables import materialize
 from txnrisk.values import CLASSIFIER_FEATURES
@@ -106,9 +113,90 @@ def test_explanations(fitted, spark):
     assert len(weights) == 5 and sizes == sorted(sizes, reverse=True)
     assert "__INTERCEPT__" in [row.feature for row in models.model_weights(fitted["logistic"], 12).collect()]
     for name in ("boosted", "forest"):
-        rows = models.global_explain(fitted[name]).collect()
+        rows = models.feature_importances(fitted[name]).collect()
         assert {row.feature for row in rows} == set(CLASSIFIER_FEATURES)
-        assert sum(row.attribution for row in rows) == pytest.approx(1.0)
+        assert sum(row.importance for row in rows) == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("name", TRAINERS)
+def test_a_model_as_rows_scores_like_the_pipeline(fitted, splits, name):
+    """Also where feature values are missing."""
+    holes = {c: F.when(F.col("step") % 7 != i, F.col(c)) for i, c in enumerate(models.NULLABLE_FEATURES)}
+    rows = materialize(splits[1].withColumns(holes), "holes")
+    by_rows = model_rows(fitted[name])
+    key = ["step", "nameOrig", "amount", "nameDest"]
+    first = models.predict(fitted[name], rows).select(*key, "predicted_isFraud", "probability")
+    second = models.predict(by_rows, rows).select(*key, F.col("predicted_isFraud").alias("label"), F.col("probability").alias("p"))
+    both = first.join(second, key)
+    assert both.count() == rows.count()
+    apart = both.where((F.col("predicted_isFraud") != F.col("label")) | (F.abs(F.col("probability") - F.col("p")) > 1e-12))
+    assert apart.count() == 0
+    table = by_rows.frame(rows.sparkSession)
+    assert table.count() == len(by_rows.rows)
+
+
+def plain_importance(rows, probability, seed=42, clamp=1e-15):
+    """Attributions with all rows at hand."""
+    names = [f"{seed}:{r.step}|{r.nameOrig}|{round(r.amount * 100)}|{r.nameDest}" for r in rows]
+    order = sorted(range(len(rows)), key=lambda i: hashlib.md5(names[i].encode()).hexdigest())
+    ordered = [rows[i].asDict() for i in order]
+
+    def loss(moved=None, places=0):
+        total = 0.0
+        for i, row in enumerate(ordered):
+            if moved:
+                row = row | {moved: ordered[(i + places) % len(ordered)][moved]}
+            p = min(max(probability(row), clamp), 1 - clamp)
+            total -= math.log(p if row["isFraud"] == 1 else 1 - p)
+        return total / len(ordered)
+
+    return {f: loss(f, shift(f, len(rows), seed)) - loss() for f in CLASSIFIER_FEATURES}
+
+
+def test_permutation_importance_against_all_rows(splits):
+    def probability(row):
+        z = -3 + 4 * row["orig_balance_zero_after"] + row["is_transfer_or_cashout"] - 0.01 * row["balance_diff_orig"]
+        return 1 / (1 + math.exp(-z))
+
+    weights = (("__INTERCEPT__", -3.0), ("orig_balance_zero_after", 4.0), ("is_transfer_or_cashout", 1.0), ("balance_diff_orig", -0.01))
+    model = ModelRows(LINEAR, tuple(Weight(*w) for w in weights))
+    cents = F.round(F.col("amount") * 100).cast("bigint").cast("string")
+    name = F.concat_ws("|", F.col("step").cast("string"), "nameOrig", cents, "nameDest")
+    found = models.global_explain(model, splits[1], name).collect()
+    expected = plain_importance(splits[1].collect(), probability)
+    assert {row.feature: row.attribution for row in found} == pytest.approx(expected, abs=1e-9)
+    assert found[0].feature == "orig_balance_zero_after"
+    assert [row.attribution for row in found] == sorted((row.attribution for row in found), reverse=True)
+    unused = [row.attribution for row in found if row.feature not in dict(weights)]
+    assert unused == [0.0] * 8
+
+
+def test_permutation_importance_of_a_fitted_model_and_of_few_rows(fitted, splits):
+    found = models.global_explain(fitted["boosted"], splits[1]).collect()
+    assert {row.feature for row in found} == set(CLASSIFIER_FEATURES) and found[0].attribution > 0.01
+    one = materialize(splits[1].limit(1), "one")
+    assert [row.attribution for row in models.global_explain(fitted["logistic"], one).collect()] == [0.0] * 11
+    assert models.global_explain(fitted["logistic"], splits[1].limit(0)).collect() == []
+
+
+def test_every_value_is_used_once(spark):
+    """Numbering is one-to-one whatever the cells, and a shift never leaves a row in place."""
+    frame = spark.range(3000).select("id", F.md5(F.col("id").cast("string")).alias("order"))
+    places = [row.rank for row in numbered(frame, "order").orderBy("order").collect()]
+    assert places == list(range(3000))
+    same = frame.select("id", F.md5(F.lit("x")).alias("order"))
+    assert [row.rank for row in numbered(same, "order", ["id"]).orderBy("id").collect()] == list(range(3000))
+    assert all(0 < shift(f, rows) < rows for f in CLASSIFIER_FEATURES for rows in (2, 3, 100))
+
+
+def test_certificates_tell_optimal_from_other_models(splits, fitted):
+    def steepest(model):
+        return max(abs(row.gradient) for row in logistic_gradient(model, splits[0]).collect())
+
+    assert steepest(fitted["logistic"]) < 1e-6 < 1e-3 < steepest(models.train_logistic(splits[0], iterations=2))
+    settled = models.train_kmeans(splits[0], iterations=500, tolerance=0.0)
+    assert max(row.shift for row in lloyd_step(settled, splits[0]).collect()) < 1e-9
+    assert max(row.shift for row in lloyd_step(models.train_kmeans(splits[0], iterations=1), splits[0]).collect()) > 1e-4
 
 
 def test_auto_weights_give_both_classes_the_same_total(splits):

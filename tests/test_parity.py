@@ -3,20 +3,21 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from oracle.sql import ORACLE
 from tests.conftest import MEDIUM
 from tests.parity import duckdb_rows, open_tables, spark_rows
+from txnrisk.plans.registry import all_queries
 
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+QUERIES = all_queries()
 WITHOUT_ORACLE = {
     "large_amount_threshold_approx",
-    "train_logistic",
+    "train_logistic_evaluated",
     "train_boosted_tree",
     "train_random_forest",
-    "train_kmeans",
-    "predict",
-    "model_weights",
-    "global_explain",
+    "train_kmeans_clusters",
+    "predict_trained",
+    "model_weights_trained",
+    "feature_importances",
 }
 
 
@@ -32,6 +33,11 @@ def test_only_models_and_the_sketch_lack_an_oracle():
     assert set(ORACLE) <= set(QUERIES)
 
 
+def test_the_entry_point_has_every_query_and_its_oracle():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert ORACLE.items() <= entry_point.oracle_sql().items()
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     expected_types, expected = duckdb_rows(duck, ORACLE[name])

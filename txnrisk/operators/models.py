@@ -16,6 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnrisk.operators.explain import permutation_importance
+from txnrisk.operators.model_rows import ModelRows, model_rows, score_rows
 from txnrisk.sources.tables import ensure_checkpoint_dir
 from txnrisk.values import (
     CLASS_WEIGHTS,
@@ -166,8 +168,13 @@ def train_random_forest(
     return _fit_classifier(class_weights(_labelled(train)), classifier)
 
 
-def train_kmeans(train: DataFrame, clusters: int = 8) -> PipelineModel:
-    """k-means on standardised features, seeded by the parallel form of k-means++."""
+def train_kmeans(
+    train: DataFrame, clusters: int = 8, iterations: int = 20, tolerance: float = 1e-4
+) -> PipelineModel:
+    """k-means on standardised features, seeded by the parallel form of k-means++.
+
+    It ends when no centre moves by more than the tolerance, or after the last iteration.
+    """
     stages = _vector_stages(CLUSTER_FEATURES, "raw_vector") + [
         StandardScaler(
             inputCol="raw_vector", outputCol="features_vector", withMean=True, withStd=True
@@ -177,14 +184,18 @@ def train_kmeans(train: DataFrame, clusters: int = 8) -> PipelineModel:
             predictionCol="cluster",
             k=clusters,
             initMode="k-means||",
+            maxIter=iterations,
+            tol=tolerance,
             seed=SEED,
         ),
     ]
     return Pipeline(stages=stages).fit(train.select(*CLUSTER_FEATURES))
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Input columns, the predicted label and the probability of fraud."""
+def predict(model: PipelineModel | ModelRows, df: DataFrame) -> DataFrame:
+    """Input columns, the predicted label and the probability of fraud, by a fitted pipeline or a model's rows."""
+    if isinstance(model, ModelRows):
+        return score_rows(model, df)
     return model.transform(df).select(
         *df.columns,
         F.col("prediction").cast("bigint").alias("predicted_isFraud"),
@@ -220,27 +231,30 @@ def kmeans_assign(
     )
 
 
-def model_weights(model: PipelineModel, n: int = 5) -> DataFrame:
+def model_weights(model: PipelineModel | ModelRows, n: int = 5) -> DataFrame:
     """The n largest logistic weights by size, the intercept among them."""
-    logistic = model.stages[-1]
-    rows = [(name, float(w)) for name, w in zip(CLASSIFIER_FEATURES, logistic.coefficients)]
-    rows.append(("__INTERCEPT__", float(logistic.intercept)))
-    return largest_weights(_driver_rows(rows, "feature string, weight double"), n)
+    rows = model if isinstance(model, ModelRows) else model_rows(model)
+    return largest_weights(rows.frame(SparkSession.active()), n)
 
 
 def largest_weights(weights: DataFrame, n: int = 5) -> DataFrame:
     return weights.orderBy(F.abs("weight").desc(), "feature").limit(n)
 
 
-def global_explain(model: PipelineModel) -> DataFrame:
-    """Importance of each feature in a tree ensemble, largest first."""
-    importances = model.stages[-1].featureImportances.toArray()
-    rows = [(name, float(v)) for name, v in zip(CLASSIFIER_FEATURES, importances)]
-    return _driver_rows(rows, "feature string, attribution double").orderBy(
-        F.col("attribution").desc(), "feature"
-    )
+def global_explain(model: PipelineModel | ModelRows, df: DataFrame, row_name: Column | None = None, **options) -> DataFrame:
+    """Attribution of each feature, largest first: the log loss it saves, by permutation over the given rows.
+
+    ``row_name`` is a text that tells rows apart, by default all columns of the transaction key.
+    """
+    if row_name is None:
+        row_name = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TRANSACTION_KEY])
+    return permutation_importance(lambda rows: predict(model, rows), df, row_name, **options)
 
 
-def _driver_rows(rows: list[tuple], schema: str) -> DataFrame:
-    """A model's dozen or so numbers as a frame."""
-    return SparkSession.active().createDataFrame(rows, schema)
+def feature_importances(model: PipelineModel) -> DataFrame:
+    """Share of each feature in the gain of a tree ensemble's splits, largest first."""
+    importances = model.stages[-1].featureImportances.toArray()
+    rows = [(name, float(v)) for name, v in zip(CLASSIFIER_FEATURES, importances)]
+    # One row per feature.
+    shares = SparkSession.active().createDataFrame(rows, "feature string, importance double")
+    return shares.orderBy(F.col("importance").desc(), "feature")

@@ -17,7 +17,8 @@ from txnrisk.functions import scoring as score
 from txnrisk.functions.features import feature_columns
 from txnrisk.operators import cleaning, dashboards, evaluation, models, quality, scoring
 from txnrisk.operators.features import large_amount_threshold, threshold_column
-from txnrisk.plans.tables import AS_OF, LOG_LOSS_CLAMP, RunTables, run_ts
+from txnrisk.operators.certificates import lloyd_step, logistic_gradient
+from txnrisk.plans.tables import AS_OF, LOG_LOSS_CLAMP, RunTables, fixed_models, run_ts
 from txnrisk.sources.tables import materialize, shared_dir
 from txnrisk.sources.transactions_csv import read_transactions_csv
 from txnrisk.values import (
@@ -33,6 +34,9 @@ from txnrisk.values import (
     TRANSACTION_KEY,
 )
 
+# A slope or a shift below this is none; both are free of units.
+FLAT = 1e-6
+
 Query = Callable[[RunTables], DataFrame]
 
 # A week of the replayed history, for the date control of the dashboards.
@@ -86,24 +90,30 @@ MODELS: dict[str, Query] = {
     "split_by_step": lambda t: _split(t),
     "split_by_step_100": lambda t: _split(t, JOB_SPLIT_STEP),
     "class_weights": lambda t: _class_weights(t),
-    "train_logistic": lambda t: _trained(t, LOGISTIC, models.train_logistic),
+    "train_logistic": lambda t: _optimality(t),
+    "train_logistic_evaluated": lambda t: _trained(t, LOGISTIC, models.train_logistic),
     "train_boosted_tree": lambda t: _trained(t, BOOSTED_TREE, models.train_boosted_tree),
     "train_random_forest": lambda t: _trained(t, RANDOM_FOREST, models.train_random_forest),
-    "train_kmeans": lambda t: _clusters(t),
+    "train_kmeans": lambda t: _fixed_point(t),
+    "train_kmeans_clusters": lambda t: _clusters(t),
     "kmeans_assign": lambda t: _keyed(
         models.kmeans_assign(t.features, CENTROIDS),
         "centroid_id",
         F.round("centroid_distance", 4).alias("centroid_distance"),
     ),
     "evaluate_classifier": lambda t: _metrics(t),
-    "predict": lambda t: _predicted(t),
+    "predict": lambda t: _predicted_by_rows(t),
+    "predict_trained": lambda t: _predicted(t),
     "score_linear": lambda t: _keyed(
         t.scored, "predicted_isFraud", F.round("probability", 4).alias("probability")
     ),
-    "model_weights": lambda t: models.model_weights(
+    "model_weights": lambda t: models.model_weights(fixed_models()[LOGISTIC]),
+    "model_weights_trained": lambda t: models.model_weights(
         models.train_logistic(_stored_splits(t)[0])
     ),
-    "global_explain": lambda t: models.global_explain(
+    "global_explain": lambda t: _attributions(t, LOGISTIC),
+    "global_explain_boosted": lambda t: _attributions(t, BOOSTED_TREE),
+    "feature_importances": lambda t: models.feature_importances(
         models.train_boosted_tree(_stored_splits(t)[0])
     ),
     "evaluation_log_row": lambda t: evaluation.evaluation_log_row(
@@ -278,6 +288,48 @@ def _predicted(t: RunTables) -> DataFrame:
     return _keyed(scored, "predicted_isFraud", F.round("probability", 4).alias("probability"))
 
 
+def _predicted_by_rows(t: RunTables) -> DataFrame:
+    """Scores of the evaluation side by a given model of each kind."""
+    _, evaluate = models.split_by_step(t.features)
+    found = None
+    for name, rows in fixed_models().items():
+        scored = models.predict(rows, evaluate)
+        one = _keyed(scored, F.lit(name).alias("model_name"), "predicted_isFraud", F.round("probability", 4).alias("probability"))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def _row_name() -> Column:
+    """The transaction key as text, with the amount in whole cents."""
+    cents = F.round(F.col("amount") * 100).cast("bigint")
+    return F.concat_ws("|", F.col("step").cast("string"), "nameOrig", cents.cast("string"), "nameDest")
+
+
+def _attributions(t: RunTables, name: str) -> DataFrame:
+    """Attributions of a given model on the evaluation side."""
+    _, evaluate = models.split_by_step(t.features)
+    found = models.global_explain(fixed_models()[name], evaluate, _row_name(), clamp=LOG_LOSS_CLAMP)
+    return found.select("feature", F.round("attribution", 6).alias("attribution"))
+
+
+def _optimality(t: RunTables) -> DataFrame:
+    """Whether the weighted loss of the logistic model, fitted on the training side, is flat along each weight."""
+    training, _ = _stored_splits(t)
+    gradient = logistic_gradient(models.train_logistic(training), training)
+    return gradient.select("feature", "rows", (F.abs("gradient") < FLAT).alias("optimal"))
+
+
+def _fixed_point(t: RunTables) -> DataFrame:
+    """Whether the centres of k-means, fitted on the training side, are the means of their rows."""
+    training, _ = _stored_splits(t)
+    step = lloyd_step(models.train_kmeans(training, iterations=500, tolerance=0.0), training)
+    return step.agg(
+        F.count("*").alias("clusters"),
+        F.sum("rows").alias("rows"),
+        (F.max("shift") < FLAT).alias("settled"),
+    ).select(F.lit(KMEANS).alias("model_name"), "*")
+
+
 # The feature queries, named after the feature they add to the row key.
 FEATURES.update({f"f_{name}": _one_feature(name) for name in CLASSIFIER_FEATURES})
 

@@ -18,6 +18,7 @@ from txnrisk.functions.scoring import linear_probability
 from txnrisk.operators.cleaning import clean_transactions
 from txnrisk.operators.evaluation import evaluate_classifier, evaluation_log_row, per_model
 from txnrisk.operators.features import build_features, large_amount_threshold
+from txnrisk.operators.model_rows import BOOSTED, FOREST, INTERCEPT, LINEAR, ModelRows, Node, Weight
 from txnrisk.operators.quality import feature_log_rows
 from txnrisk.operators.scoring import (
     daily_summaries,
@@ -33,6 +34,7 @@ from txnrisk.values import (
     DEFAULT_SPLIT_STEP,
     LOGGED_MODELS,
     LOGISTIC,
+    RANDOM_FOREST,
     RUN_STATUS,
 )
 
@@ -65,6 +67,57 @@ MODEL_B = (
 )
 LOG_LOSS_CLAMP = 0.0001
 
+# The nodes of two small ensembles, as (tree, node, feature, threshold, left, right, value).
+# A leaf of the forest has its share of fraud, one of the boosted trees what it adds to the sum.
+FOREST_NODES = (
+    (0, 0, "orig_balance_zero_after", 0.5, 1, 2, None),
+    (0, 1, "balance_diff_orig", -100.0, 3, 4, None),
+    (0, 2, "is_transfer_or_cashout", 0.5, 5, 6, None),
+    (0, 3, None, None, None, None, 0.125),
+    (0, 4, None, None, None, None, 0.03125),
+    (0, 5, None, None, None, None, 0.25),
+    (0, 6, None, None, None, None, 0.875),
+    (1, 0, "type_encoded", 1.5, 1, 2, None),
+    (1, 1, None, None, None, None, 0.0625),
+    (1, 2, "type_encoded", 3.5, 3, 4, None),
+    (1, 3, "amount_to_balance_ratio", 0.95, 5, 6, None),
+    (1, 4, None, None, None, None, 0.1875),
+    (1, 5, None, None, None, None, 0.3125),
+    (1, 6, None, None, None, None, 0.9375),
+    (2, 0, "hour_of_step", 11.0, 1, 2, None),
+    (2, 1, None, None, None, None, 0.375),
+    (2, 2, "net_dest_change", 0.0, 3, 4, None),
+    (2, 3, None, None, None, None, 0.4375),
+    (2, 4, None, None, None, None, 0.5),
+)
+BOOSTED_NODES = (
+    (0, 0, "orig_balance_zero_after", 0.5, 1, 2, None),
+    (0, 1, "net_orig_change", 60.0, 3, 4, None),
+    (0, 2, "is_transfer_or_cashout", 0.5, 5, 6, None),
+    (0, 3, None, None, None, None, -0.9375),
+    (0, 4, None, None, None, None, -0.75),
+    (0, 5, None, None, None, None, -0.5),
+    (0, 6, None, None, None, None, 0.6875),
+    (1, 0, "dest_balance_unchanged", 0.5, 1, 2, None),
+    (1, 1, None, None, None, None, -0.0625),
+    (1, 2, "is_large_transaction", 0.5, 3, 4, None),
+    (1, 3, None, None, None, None, 0.09375),
+    (1, 4, None, None, None, None, 0.21875),
+    (2, 0, "balance_diff_dest", -50.0, 1, 2, None),
+    (2, 1, None, None, None, None, 0.03125),
+    (2, 2, None, None, None, None, -0.015625),
+)
+
+
+def fixed_models() -> dict[str, ModelRows]:
+    """A model of each kind with given rows."""
+    linear = ((INTERCEPT, MODEL_A[0]), *MODEL_A[1])
+    return {
+        LOGISTIC: ModelRows(LINEAR, tuple(Weight(*row) for row in linear)),
+        RANDOM_FOREST: ModelRows(FOREST, tuple(Node(*row) for row in FOREST_NODES)),
+        BOOSTED_TREE: ModelRows(BOOSTED, tuple(Node(*row) for row in BOOSTED_NODES)),
+    }
+
 
 def run_ts() -> Column:
     """The time of the single run, free of any time zone."""
