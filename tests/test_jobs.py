@@ -3,21 +3,20 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import MEDIUM
 from txnrisk.operators import dashboards, quality
 from txnrisk.plans import jobs
 from txnrisk.plans.tables import RunTables
-from txnrisk.schemas import TABLES
-from txnrisk.sources.tables import ensure_tables, read_table
+from txnrisk.sources.tables import drop_tables, ensure_tables, read_table
 from txnrisk.values import BOOSTED_TREE, JOB_SPLIT_STEP, LOGGED_MODELS, LOGISTIC, RANDOM_FOREST
 
 RUN = dt.datetime(2024, 1, 30, 6, 0)
 
 
 def _fresh_tables(spark):
-    for name in TABLES:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    drop_tables(spark)
     ensure_tables(spark)
 
 
@@ -52,6 +51,36 @@ def test_logs(spark, model_dir):
     assert all(r.roc_auc > 0.9 for r in read_table(spark, "ml_models.model_evaluation_log").collect())
 
 
+def test_preprocess_shuffles_keys_once(spark):
+    """The counts of a run that deduplicates and counts in one pass are those of the separate checks."""
+    from pyspark.sql import Observation
+
+    from txnrisk.operators.cleaning import clean_and_count, clean_transactions
+    from txnrisk.sources.tables import materialize
+
+    raw = RunTables(spark, MEDIUM).raw
+    raw = materialize(raw.unionByName(raw.limit(20).withColumn("step", F.lit(None).cast("bigint"))), "raw")
+    seen = Observation("keys")
+    clean = clean_and_count(raw, seen)
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    clean = materialize(clean, "clean")
+    assert clean.exceptAll(clean_transactions(raw)).count() == 0
+    assert clean.count() == clean_transactions(raw).count()
+    log_rows = quality.validation_log_rows(raw, F.current_date(), seen.get["keys"])
+    assert "Exchange hash" not in log_rows._jdf.queryExecution().executedPlan().toString()
+    assert log_rows.collect() == quality.validation_log_rows(raw, F.current_date()).collect()
+
+
+def test_only_a_missing_model_is_none(spark, model_dir):
+    assert jobs.load_model(model_dir, "no_such_model") is None
+    import shutil
+
+    shutil.copytree(f"{model_dir}/{LOGISTIC}/metadata", f"{model_dir}/damaged/metadata")
+    with pytest.raises(Exception):
+        jobs.load_model(model_dir, "damaged")
+
+
 def test_scoring_twice_leaves_one_copy(spark, model_dir):
     for _ in range(2):
         totals = jobs.score_day(spark, RUN, model_dir).first()

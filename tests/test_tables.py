@@ -1,6 +1,9 @@
 """CSV in, tables out."""
 
 import datetime as dt
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,9 +14,12 @@ from txnrisk.plans.tables import RunTables
 from txnrisk.schemas import RUN_DAY, RUN_TIMESTAMP, TABLES, TRANSACTIONS
 from txnrisk.sources.tables import (
     append_log_row,
+    discard,
+    drop_tables,
     ensure_tables,
     materialize,
     read_table,
+    scratch,
     shared_dir,
     write_append,
     write_replace,
@@ -21,10 +27,12 @@ from txnrisk.sources.tables import (
 from txnrisk.sources.transactions_csv import read_transactions_csv
 
 
+ROOT = Path(__file__).parent.parent
+
+
 @pytest.fixture()
 def tables(spark):
-    for name in TABLES:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    drop_tables(spark)
     ensure_tables(spark)
     return spark
 
@@ -76,6 +84,69 @@ def test_replace(tables):
     assert read_table(tables, "raw.transactions").schema == TRANSACTIONS
 
 
+def test_a_write_that_fails_leaves_the_old_rows(tables):
+    write_replace(transactions(tables, {}, {"step": 2}), "raw.transactions")
+    reading = read_table(tables, "raw.transactions")
+    broken = transactions(tables, *[{"step": i} for i in range(50)]).withColumn(
+        "step", F.when(F.col("step") == 40, F.raise_error(F.lit("lost"))).otherwise(F.col("step")).cast("bigint")
+    )
+    with pytest.raises(Exception, match="lost"):
+        write_replace(broken, "raw.transactions")
+    assert read_table(tables, "raw.transactions").count() == 2
+    write_replace(read_table(tables, "raw.transactions").where("step = 2"), "raw.transactions")
+    assert read_table(tables, "raw.transactions").count() == 1
+    assert reading.count() == 2  # a query that began before still has its version
+
+
+def test_a_process_killed_in_a_write_leaves_the_old_rows(tables):
+    """The rows are written but not committed when the process ends; a new process reads the old ones."""
+    write_replace(transactions(tables, {}, {"step": 2}), "raw.transactions")
+    run = """
+import os
+from txnrisk.sources import tables
+tables._commit = lambda *args: os._exit(9)
+tables.write_replace(tables.read_table(spark, "raw.transactions").unionByName(tables.read_table(spark, "raw.transactions")), "raw.transactions")
+"""
+    assert in_other_process(tables, run).returncode == 9
+    assert read_table(tables, "raw.transactions").count() == 2
+    found = in_other_process(tables, "print('rows', read_table(spark, 'raw.transactions').count())")
+    assert "rows 2" in found.stdout
+
+
+def in_other_process(spark, code):
+    """Run code in a new process with a session over the same warehouse."""
+    start = f"""
+from txnrisk.session import build_session
+from txnrisk.sources.tables import *
+spark = build_session(master="local[2]", shuffle_partitions=2, **{{
+    "spark.sql.warehouse.dir": {spark.conf.get("spark.sql.warehouse.dir")!r},
+    "spark.checkpoint.dir": {spark.conf.get("spark.checkpoint.dir")!r},
+}})
+ensure_tables(spark)
+"""
+    return subprocess.run([sys.executable, "-c", start + code], capture_output=True, text=True, timeout=300, cwd=ROOT)
+
+
+def test_a_second_process_finds_the_tables(tables):
+    write_replace(transactions(tables, {}, {"step": 2}), "raw.transactions")
+    for day, total in ((1, 5), (2, 6)):
+        write_append(_summary(tables, day, total), "reports.daily_summary")
+    run = """
+import datetime as dt
+print("rows", read_table(spark, "raw.transactions").count())
+print("days", sorted(r.run_day.day for r in read_table(spark, "reports.daily_summary").collect()))
+write_append(read_table(spark, "reports.daily_summary").where("run_day = DATE '2024-01-01'").drop("run_day"), "reports.daily_summary", mode="append")
+write_replace(read_table(spark, "raw.transactions").where("step = 2"), "raw.transactions")
+append_log_row(spark, "raw.ingestion_log", (dt.datetime(2024, 1, 1), "t", "SUCCESS", 1))
+"""
+    found = in_other_process(tables, run)
+    assert "rows 2" in found.stdout and "days [1, 2]" in found.stdout, found.stderr[-3000:]
+    # What the other process wrote is seen here.
+    assert read_table(tables, "raw.transactions").count() == 1
+    assert read_table(tables, "raw.ingestion_log").count() == 1
+    assert sorted(r.run_day.day for r in read_table(tables, "reports.daily_summary").collect()) == [1, 1, 2]
+
+
 def test_replace_casts_to_the_declared_types(tables):
     loose = transactions(tables, {}).withColumns(
         {"step": F.col("step").cast("int"), "amount": F.col("amount").cast("decimal(10,2)")}
@@ -130,3 +201,23 @@ def test_intermediate_tables_go_to_the_configured_folder(spark):
     assert df.inputFiles()[0].startswith("file:" + spark.conf.get("spark.checkpoint.dir")) or df.inputFiles()[
         0
     ].startswith("file://" + spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_scratch_results_last_as_long_as_the_run(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "shared"
+    monkeypatch.setattr("txnrisk.sources.tables.shared_dir", lambda _: str(folder))
+    with scratch(spark):
+        first = materialize(spark.range(5), "first")
+        second = materialize(first.where("id > 2"), "second")
+        discard(first)
+        assert second.count() == 2  # its files are there to be read again
+        with scratch(spark):
+            inner = materialize(second, "inner")
+            assert inner.count() == 2
+        assert len(list(folder.glob("scratch-*/*"))) == 1
+        with pytest.raises(ValueError):
+            with scratch(spark):
+                materialize(second, "failed")
+                raise ValueError
+        assert len(list(folder.glob("scratch-*"))) == 1
+    assert list(folder.iterdir()) == []

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from txnrisk.schemas import TRANSACTIONS
@@ -51,3 +51,14 @@ def filter_valid(df: DataFrame) -> DataFrame:
 def clean_transactions(raw: DataFrame) -> DataFrame:
     """Deduplicate, then filter: an invalid copy that sorts first takes its key with it."""
     return filter_valid(dedup_transactions(raw)).select(*TRANSACTIONS.names)
+
+
+def clean_and_count(raw: DataFrame, seen: Observation) -> DataFrame:
+    """The clean rows; the number of different keys without a null, ``keys``, is observed on the way.
+
+    Rows that could not be clean for want of an amount or a name are left out first. The count is taken behind the
+    shuffle, in the tasks that write the result, where Spark counts each task once however often it is tried.
+    """
+    present = raw.where("amount IS NOT NULL AND nameOrig IS NOT NULL AND nameDest IS NOT NULL")
+    keys = F.count_if(F.col("step").isNotNull()).alias("keys")
+    return filter_valid(dedup_transactions(present).observe(seen, keys)).select(*TRANSACTIONS.names)

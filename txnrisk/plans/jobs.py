@@ -9,14 +9,12 @@ from __future__ import annotations
 import datetime as dt
 from functools import partial
 
-from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from txnrisk.operators import models, quality, scoring
-from txnrisk.operators.cleaning import clean_transactions
+from txnrisk.operators.cleaning import clean_and_count
 from txnrisk.operators.evaluation import (
     compare_models,
     evaluate_classifier,
@@ -24,7 +22,8 @@ from txnrisk.operators.evaluation import (
     training_log_rows,
 )
 from txnrisk.operators.features import build_features, large_amount_threshold, stored_threshold
-from txnrisk.sources.tables import read_table, write_append, write_replace
+from txnrisk.sources.files import exists
+from txnrisk.sources.tables import read_table, scratch, write_append, write_replace
 from txnrisk.sources.transactions_csv import read_transactions_csv
 from txnrisk.values import BOOSTED_TREE, DEFAULT_SPLIT_STEP, KMEANS, LOGISTIC, RANDOM_FOREST
 
@@ -54,15 +53,17 @@ def preprocess(spark: SparkSession, run_ts: dt.datetime) -> DataFrame | bool:
     """Count and log bad rows, write the clean table, and return its counts.
 
     Rows are sorted by step inside each file: later steps then skip row groups when they read
-    one side of the split, in this table and in the feature table made from it.
+    one side of the split, in this table and in the feature table made from it. The number of different
+    keys is counted as the deduplicated rows pass by, so keys are shuffled once.
     """
     raw = read_table(spark, "raw.transactions")
     if not quality.gate_non_empty(raw):
         return False
-    write_replace(
-        clean_transactions(raw).sortWithinPartitions("step"), "staging.transactions_clean"
-    )
-    write_append(quality.validation_log_rows(raw, _stamp(run_ts)), "staging.validation_log")
+    seen = Observation("deduplicated")
+    clean = clean_and_count(raw, seen).sortWithinPartitions("step")
+    write_replace(clean, "staging.transactions_clean")
+    log_rows = quality.validation_log_rows(raw, _stamp(run_ts), seen.get["keys"])
+    write_append(log_rows, "staging.validation_log")
     return quality.staging_check(read_table(spark, "staging.transactions_clean"))
 
 
@@ -73,8 +74,9 @@ def engineer_features(
     clean = read_table(spark, "staging.transactions_clean")
     if not quality.gate_non_empty(clean):
         return False
-    threshold = large_amount_threshold(clean, threshold_method)
-    write_replace(build_features(clean, threshold), "features.transaction_features")
+    with scratch(spark):
+        threshold = large_amount_threshold(clean, threshold_method)
+        write_replace(build_features(clean, threshold), "features.transaction_features")
     features = read_table(spark, "features.transaction_features")
     quality.gate_features(quality.feature_checks(features))
     write_append(quality.feature_log_row(features, _stamp(run_ts)), "features.feature_log")
@@ -94,13 +96,12 @@ def train(
         return False
     training, evaluate = models.split_by_step(features, split_step)
     for name, trainer in ((LOGISTIC, models.train_logistic), (tree, TREE_TRAINERS[tree])):
-        model = trainer(training)
-        _save(model, model_dir, name)
+        model = _saved(trainer(training), model_dir, name)
         metrics = evaluate_classifier(models.predict(model, evaluate))
         write_append(
             evaluation_log_row(metrics, name, _stamp(run_ts)), "ml_models.model_evaluation_log"
         )
-    _save(models.train_kmeans(training), model_dir, KMEANS)
+    _saved(models.train_kmeans(training), model_dir, KMEANS)
     log_rows = training_log_rows(features, _stamp(run_ts), (LOGISTIC, tree, KMEANS), split_step)
     write_append(log_rows, "ml_models.training_log")
     return compare_models(read_table(spark, "ml_models.model_evaluation_log"))
@@ -147,15 +148,13 @@ def score_day(
     return scoring.alert_totals(read_table(spark, "reports.high_risk_alerts"), day)
 
 
-def _save(model: PipelineModel, model_dir: str, name: str) -> None:
+def _saved(model: PipelineModel, model_dir: str, name: str) -> PipelineModel:
+    """The model as it was saved: without the training rows and the session that a fitted one holds on to."""
     model.write().overwrite().save(f"{model_dir}/{name}")
+    return PipelineModel.load(f"{model_dir}/{name}")
 
 
 def load_model(model_dir: str, name: str) -> PipelineModel | None:
-    """A saved model, or None when there is none of that name."""
-    try:
-        return PipelineModel.load(f"{model_dir}/{name}")
-    except (AnalysisException, Py4JJavaError) as error:
-        if "does not exist" in str(error):
-            return None
-        raise
+    """A saved model, or None when there is none of that name. A damaged one is an error."""
+    path = f"{model_dir}/{name}"
+    return PipelineModel.load(path) if exists(SparkSession.active(), path) else None

@@ -1,4 +1,10 @@
-"""The named tables: creation, reading and the writers."""
+"""The named tables: creation, reading and the writers.
+
+A table lies in a folder of its own below its database's folder, in one subfolder per version. A version counts from
+the moment its marker file exists, which is made after all its rows are written, and the newest such version is
+the table. So replacing a table never takes away the old rows before the new ones are there, and any
+process that knows the warehouse folder finds all tables again.
+"""
 
 from __future__ import annotations
 
@@ -6,28 +12,105 @@ import datetime as dt
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.schemas import RUN_DAY, RUN_TIMESTAMP, TABLES
+from txnrisk.sources.files import children, delete, exists, touch
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+MARKER = "_committed"
+#: Versions that are kept, so that queries on the one before can end.
+KEPT_VERSIONS = 2
+
+
+def _root(spark: SparkSession, name: str) -> str:
+    database, table = name.split(".")
+    return f"{spark.catalog.getDatabase(database).locationUri}/{table}"
+
+
+def _versions(spark: SparkSession, name: str) -> list[str]:
+    """The committed versions of a table, oldest first."""
+    root = _root(spark, name)
+    return [f"{root}/{v}" for v in sorted(children(spark, root)) if exists(spark, f"{root}/{v}/{MARKER}")]
+
+
+def _next_version(spark: SparkSession, name: str) -> str:
+    """A folder for a new version; whatever an ended job left in it is no concern, as its name is new."""
+    numbers = [int(v.rsplit("/v", 1)[1].split("-")[0]) for v in _versions(spark, name)]
+    return f"{_root(spark, name)}/v{max(numbers, default=0) + 1:08d}-{uuid.uuid4().hex}"
+
+
+def _commit(spark: SparkSession, name: str, path: str) -> None:
+    """Make a written version the table, and remove versions that nobody can be reading any more."""
+    touch(spark, f"{path}/{MARKER}")
+    _point(spark, name, path)
+    for old in _versions(spark, name)[:-KEPT_VERSIONS]:
+        delete(spark, old)
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    if not spark.catalog.tableExists(name):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    return described.data_type
+
+
+def _point(spark: SparkSession, name: str, path: str) -> None:
+    """Let the catalog's table be a version, which is what other queries of the session see."""
+    known = _location(spark, name)
+    if known is not None and known.rsplit("/", 1)[1] == path.rsplit("/", 1)[1]:
+        return
+    if known is not None and name not in RUN_TIMESTAMP:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # the files of an external table stay
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLES[name])
+        by_day = f", {RUN_DAY} DATE) USING parquet PARTITIONED BY ({RUN_DAY})" if name in RUN_TIMESTAMP else ") USING parquet"
+        spark.sql(f"CREATE TABLE {name} ({columns}{by_day} LOCATION '{path}'")
+        if name in RUN_TIMESTAMP:
+            spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
 
 
 def ensure_tables(spark: SparkSession) -> None:
-    """Create each of the eleven tables that does not exist, empty, with its schema."""
+    """Find each of the eleven tables in the warehouse folder, or create it, empty, with its schema."""
     for name, schema in TABLES.items():
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
-        empty = _with_run_day(spark.createDataFrame([], schema), name)
-        writer = empty.write.format("parquet").mode("ignore")
-        if name in RUN_TIMESTAMP:
-            writer = writer.partitionBy(RUN_DAY)
-        writer.saveAsTable(name)
+        found = _versions(spark, name)
+        if found:
+            _point(spark, name, found[-1])
+        else:
+            _write_version(spark.createDataFrame([], schema), name)
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Remove the tables with their rows."""
+    for name in TABLES:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete(spark, _root(spark, name))
+
+
+def _write_version(df: DataFrame, name: str) -> None:
+    spark = df.sparkSession
+    path = _next_version(spark, name)
+    writer = _with_run_day(df, name).write
+    if name in RUN_TIMESTAMP:
+        writer = writer.partitionBy(RUN_DAY)
+    writer.parquet(path)
+    _commit(spark, name, path)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """A table with its declared columns, and the run day where it is stored by day."""
+    """A table with its declared columns, and the run day where it is stored by day.
+
+    Another process may have replaced the table or added to it, so its newest version is looked up first.
+    """
+    _point(spark, name, _versions(spark, name)[-1])
+    spark.catalog.refreshTable(name)
     return spark.read.table(name)
 
 
@@ -50,12 +133,11 @@ def _conform(df: DataFrame, name: str, by: str) -> DataFrame:
 
 
 def write_replace(df: DataFrame, name: str) -> None:
-    """Replace the whole table by the query result."""
-    rows = _with_run_day(_conform(df, name, "name"), name)
-    writer = rows.write.format("parquet").mode("overwrite")
-    if name in RUN_TIMESTAMP:
-        writer = writer.partitionBy(RUN_DAY)
-    writer.saveAsTable(name)
+    """Replace the whole table by the query result, which may read the table itself.
+
+    The old rows stay readable until all new ones are written, also for queries that run by then.
+    """
+    _write_version(_conform(df, name, "name"), name)
 
 
 def write_append(
@@ -74,6 +156,7 @@ def write_append(
     if mode is None:
         mode = "replace_run_date" if name in RUN_TIMESTAMP else "append"
     rows = _conform(df, name, by)
+    _point(df.sparkSession, name, _versions(df.sparkSession, name)[-1])
     if mode == "append":
         _with_run_day(rows, name).write.insertInto(name)
     elif mode != "replace_run_date" or name not in RUN_TIMESTAMP:
@@ -127,9 +210,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Keep intermediate results only as long as this lasts.
+
+    Whatever is materialized inside goes to one folder in the shared folder, which is deleted at the end, also after an
+    error. Until then all of it stays, so lost executors read it again. Results must be written or
+    collected inside. An inner one deletes its own results only.
+    """
+    folder = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        delete(spark, folder)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_scratch.get() or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a materialized result that nothing reads any more."""
+    folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+    for folder in folders:
+        delete(df.sparkSession, folder)
