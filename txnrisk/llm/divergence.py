@@ -25,18 +25,17 @@ worked on whole, about a megabyte of them at a time; a longer text by itself.
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnrisk.llm.tables import bound_batches, stored
-from txnrisk.llm.words import LOWER, buffers, slices
+from txnrisk.llm.words import LOWER, Spans, buffers, mix, slices
 
 LEAST_DOCS = 10
 FIRST_BYTES = 4
@@ -82,20 +81,35 @@ class Terms:
         )
 
 
-def _bit(lang: bytes, prefix: bytes) -> int:
-    return zlib.crc32(prefix, zlib.crc32(lang + b"\xff")) % FILTER_BITS
-
-
-def _bit_column(lang: Column, prefix: Column) -> Column:
-    """What ``_bit`` gives, by Spark."""
-    return F.pmod(F.crc32(F.concat(lang.cast("binary"), F.unhex(F.lit("FF")), prefix)), F.lit(FILTER_BITS))
+def _bits(langs: list[str], lang: np.ndarray, values: pa.Array, code: np.ndarray, size: int | None) -> np.ndarray:
+    """The bit of each pair of a language and the first ``size`` bytes of a value, both given by number."""
+    values = values.cast(pa.large_binary())
+    _, offsets, data = values.buffers()
+    ends = np.frombuffer(offsets, np.int64)[values.offset : values.offset + len(values) + 1]
+    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.zeros(0, np.uint8)
+    ends = ends - ends[0]
+    last = ends[1:] if size is None else np.minimum(ends[1:], ends[:-1] + size)
+    value_hash = Spans(raw).hash(ends[:-1], last)
+    lang_hash = np.array([int.from_bytes(hashlib.md5(name.encode()).digest()[:8]) for name in langs], np.uint64)
+    return (mix(value_hash[code] ^ lang_hash[lang]) % np.uint64(FILTER_BITS)).astype(np.int64)
 
 
 def _bitmap(prefixes: DataFrame) -> bytes:
     """A bitmap with a bit set for every row of ``lang``, ``prefix``; of the same size for any number of rows."""
-    bit = _bit_column(F.col("lang"), F.col("prefix")) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "prefix"):
+                lang = part.column("lang").dictionary_encode()
+                every = np.arange(part.num_rows)
+                bits = _bits(lang.dictionary.to_pylist(), lang.indices.to_numpy(), part.column("prefix"), every, None)
+                yield pa.RecordBatch.from_arrays([pa.array(bits + 1)], ["bit"])
+
+    bit = F.col("bit")
     rows = (
-        prefixes.groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
+        prefixes.select("lang", "prefix")
+        .mapInArrow(run, "bit long")
+        .groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
         .collect()
     )
@@ -106,6 +120,10 @@ def _bitmap(prefixes: DataFrame) -> bytes:
     return bytes(found)
 
 
+def _is_set(bitmap: bytes, bits: np.ndarray) -> np.ndarray:
+    return (np.frombuffer(bitmap, np.uint8)[bits >> 3] >> (bits & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def _combined(batches: Iterator[pa.RecordBatch], keys: list[str], count: str) -> Iterator[pa.RecordBatch]:
     """The batches with equal keys summed, as far as ``COMBINED_ROWS`` rows at a time go."""
     held, rows = [], 0
@@ -127,13 +145,6 @@ def _combined(batches: Iterator[pa.RecordBatch], keys: list[str], count: str) ->
         yield from summed(pa.Table.from_batches(held)).to_batches()
 
 
-def _passed(bitmap: bytes, langs: list[bytes], lang: np.ndarray, values: pa.Array, code: np.ndarray) -> np.ndarray:
-    """Which pairs of a language and a value have their bit set."""
-    raw = values.to_pylist()
-    bits = np.fromiter((_bit(langs[a], raw[b]) for a, b in zip(lang.tolist(), code.tolist())), np.int64, len(lang))
-    return (np.frombuffer(bitmap, np.uint8)[bits >> 3] >> (bits & 7).astype(np.uint8) & 1).astype(bool)
-
-
 def _level(docs: DataFrame, size: int, parents, least: int) -> DataFrame:
     """``lang``, ``prefix`` and ``complete`` of the prefixes that enough documents have.
 
@@ -148,7 +159,7 @@ def _level(docs: DataFrame, size: int, parents, least: int) -> DataFrame:
                 if not len(chosen):
                     continue
                 lang = part.column("lang").dictionary_encode()
-                lang_of, langs = lang.indices.to_numpy(), [x.encode() for x in lang.dictionary.to_pylist()]
+                lang_of, langs = lang.indices.to_numpy(), lang.dictionary.to_pylist()
                 found = terms.prefixes(chosen, size).dictionary_encode()
                 code = found.indices.to_numpy().astype(np.int64) * 2 + (terms.sizes[chosen] <= size)
                 width = 2 * len(found.dictionary)
@@ -157,8 +168,7 @@ def _level(docs: DataFrame, size: int, parents, least: int) -> DataFrame:
                 key, docs_with = np.unique(lang_of[once // width] * width + once % width, return_counts=True)
                 lang_at, code = key // width, key % width
                 if parents is not None:
-                    values = pc.binary_slice(found.dictionary.cast(pa.binary()), 0, size // 2)
-                    hit = _passed(parents.value, langs, lang_at, values, code // 2)
+                    hit = _is_set(parents.value, _bits(langs, lang_at, found.dictionary, code // 2, size // 2))
                     lang_at, code, docs_with = lang_at[hit], code[hit], docs_with[hit]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -214,8 +224,8 @@ def term_counts(docs: DataFrame, kept: DataFrame) -> DataFrame:
                 width = len(found.dictionary)
                 key, n = np.unique(group_of[terms.doc] * width + found.indices.to_numpy(), return_counts=True)
                 group_at, code = key // width, key % width
-                langs = [name["lang"].encode() for name in names.to_pylist()]
-                hit = _passed(bitmap.value, langs, group_at, found.dictionary, code)
+                langs = names.field("lang").to_pylist()
+                hit = _is_set(bitmap.value, _bits(langs, group_at, found.dictionary, code, None))
                 name = names.take(pa.array(group_at[hit]))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -228,11 +238,15 @@ def term_counts(docs: DataFrame, kept: DataFrame) -> DataFrame:
                 )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _combined(counted(batches), ["lang", "source", "term"], "n")
+        for batch in _combined(counted(batches), ["lang", "source", "term"], "n"):
+            rows = pa.Table.from_batches([batch]).group_by(["lang", "term"], use_threads=False)
+            yield from rows.aggregate([("source", "list"), ("n", "list")]).rename_columns(["lang", "term", "sources", "ns"]).to_batches()
 
-    rows = docs.mapInArrow(run, "lang string, source string, term binary, n long")
-    sums = rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    return sums.join(kept, ["lang", "term"], "left_semi").select("lang", "source", "term", "n")
+    # A term travels once a task with the sources that have it, and all of it meets by language and term.
+    rows = docs.mapInArrow(run, "lang string, term binary, sources array<string>, ns array<long>")
+    rows = rows.repartition("lang", "term").select("lang", "term", F.inline(F.arrays_zip("sources", "ns")))
+    sums = rows.groupBy("lang", "sources", "term").agg(F.sum("ns").alias("n"))
+    return sums.join(kept, ["lang", "term"], "left_semi").select("lang", F.col("sources").alias("source"), "term", "n")
 
 
 def _distinct(rows: pa.StructArray) -> tuple[pa.StructArray, np.ndarray]:
@@ -244,11 +258,12 @@ def _distinct(rows: pa.StructArray) -> tuple[pa.StructArray, np.ndarray]:
 
 
 def share(n: Column, total: Column, kept: Column) -> Column:
-    """``1 + floor(SCALE * (n + 2) / (total + 2 * kept))``, exact for any counts."""
-    wide = "decimal(38,0)"
-    above = F.lit(SCALE).cast(wide) * (n.cast("decimal(20,0)") + 2)
-    below = total.cast("decimal(20,0)") + kept.cast("decimal(20,0)") * 2
-    return F.lit(1) + F.call_function("div", above, F.nullif(below, F.lit(0)))
+    """``1 + floor(SCALE * (n + 2) / (total + 2 * kept))``, exact for any counts; null without kept terms."""
+    below = total + kept * 2
+    narrow = F.call_function("div", (n + 2) * SCALE, F.nullif(below, F.lit(0)))
+    above = F.lit(SCALE).cast("decimal(38,0)") * (n.cast("decimal(20,0)") + 2)
+    wide = F.call_function("div", above, F.nullif(below.cast("decimal(20,0)"), F.lit(0)))
+    return F.lit(1) + F.when(n < SCALE, narrow).otherwise(wide)
 
 
 def gap(p, q):
