@@ -44,7 +44,7 @@ SHARD_PAIRS = 2_000_000
 SLICE_COUNTS = 1 << 16
 FAN_IN = 32
 #: Distinct cuts and pairs a worker remembers; each memory starts anew beyond it.
-REMEMBERED_CUTS = 300_000
+REMEMBERED_CUTS = 600_000
 REMEMBERED_PAIRS = 4_000_000
 HELD_BYTES = 16 << 20
 #: Bytes of new cuts that are put together for one call of a tokenizer.
@@ -70,8 +70,14 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all items of runs of a flat array, run by run."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
 class Vocabulary:
-    """The bytes of each id of a tokenizer."""
+    """A byte string for each number."""
 
     def __init__(self, entries: list[bytes]):
         self.size = np.array([len(e) for e in entries], np.int64)
@@ -79,9 +85,7 @@ class Vocabulary:
         self._bytes = np.frombuffer(b"".join(entries), np.uint8)
 
     def spell(self, ids: np.ndarray) -> np.ndarray:
-        sizes = self.size[ids]
-        ends = np.cumsum(sizes)
-        return self._bytes[np.arange(sizes.sum()) + np.repeat(self._start[ids] - ends + sizes, sizes)]
+        return self._bytes[_places(self._start[ids], self.size[ids])]
 
 
 class ByteTokenizer:
@@ -155,14 +159,11 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
 
     ``a`` and ``b`` are the ends of the tokens of one text, or of several in a row.
     """
-    begin_a = np.concatenate(([0], a[:-1]))
+    begin_a = np.concatenate(([0], a))[: len(a)]
     low = np.searchsorted(b, begin_a, "right")
     high = np.searchsorted(b, a, "left")
     counts = high - low + 1
-    ends = np.cumsum(counts)
-    left = np.repeat(np.arange(len(a)), counts)
-    right = np.arange(len(left)) - np.repeat(ends - counts, counts) + np.repeat(low, counts)
-    return left, right, np.intersect1d(a, b, assume_unique=True)
+    return np.repeat(np.arange(len(a)), counts), _places(low, counts), np.intersect1d(a, b, assume_unique=True)
 
 
 class Numbers:
@@ -187,12 +188,17 @@ class Numbers:
 class Aligner:
     """Aligns texts; remembers cuts and pairs it has met.
 
-    ``pairs`` has the key of each remembered pair, ``a_id * width + b_id``, in order of appearance.
+    ``pairs`` has the key of each remembered pair, ``a_id * width + b_id``, in order of appearance. The groups are
+    only spelt out ``with_text``.
     """
 
-    def __init__(self, a_path: str, b_path: str):
+    def __init__(self, a_path: str, b_path: str, with_text: bool = True):
+        self._with_text = with_text
         self._a, self._b = ByteTokenizer(a_path), PieceTokenizer(b_path)
         self.width = len(self._b.vocabulary.size)
+        a_size = len(self._a.vocabulary.size)
+        kinds = ((a_size, b","), (a_size, b"|"), (self.width, b","), (self.width, b";"))
+        self._decimal = Vocabulary([b"%d%s" % (i, mark) for size, mark in kinds for i in range(size)])
         self.era = 0  # grows when pairs are numbered anew
         self._forget_pairs()
 
@@ -204,105 +210,99 @@ class Aligner:
 
     def _forget_cuts(self) -> None:
         self._cut_number: dict[bytes, int] = {}
-        self._text: list[bytes | None] = []  # the groups of each cut, None if its bytes do not come back
+        self._good = Numbers(bool)  # whether the bytes of each cut come back
         self._sizes = [Numbers(np.int64) for _ in range(4)]  # tokens of A and B, groups, links
         self._link = Numbers(np.int32)  # pair numbers of all links, cut by cut
         self._link_end = Numbers(np.int64)
+        self._text = Numbers(np.uint8)  # the groups as text, a semicolon after each, cut by cut
+        self._text_end = Numbers(np.int64)
+        self._text_size = Numbers(np.int64)
         self._held_bytes = 0
 
-    def _tokens(self, tokenizer, cuts: list[bytes], apart: np.ndarray) -> list[np.ndarray] | None:
-        """Token ids of each cut; cuts that may stand next to others are encoded together."""
+    @staticmethod
+    def _tokens(tokenizer, cuts: list[bytes], sizes: np.ndarray, call_heads: np.ndarray) -> tuple:
+        """Token ids of all cuts in a row, how many each has, and whether they give back its bytes.
+
+        The cuts of one call are encoded together, and one by one if that does not give back all their bytes.
+        """
+        spell, size = tokenizer.vocabulary.spell, tokenizer.vocabulary.size
+        joined = [b"".join(cuts[i:j]) for i, j in zip(call_heads[:-1], call_heads[1:])]
+        flat, counts, good = [], [], np.ones(len(cuts), bool)
+        for i, raw, ids in zip(call_heads[:-1], joined, tokenizer.encode([raw.decode() for raw in joined])):
+            j = i + 1 if len(raw) == sizes[i] else i + np.searchsorted(np.cumsum(sizes[i:]), len(raw)) + 1
+            wanted, at = np.cumsum(sizes[i:j]), np.cumsum(size[ids])
+            last = np.searchsorted(at, wanted)
+            if spell(ids).tobytes() == raw and (at[last] == wanted).all():
+                flat.append(ids)
+                counts.append(np.diff(last, prepend=-1))
+                continue
+            for k, alone in zip(range(i, j), tokenizer.encode([cut.decode() for cut in cuts[i:j]])):
+                good[k] = spell(alone).tobytes() == cuts[k]
+                flat.append(alone)
+                counts.append(np.array([len(alone)]))
+        return np.concatenate(flat), np.concatenate(counts), good
+
+    def _learn(self, cuts: list[bytes], apart: np.ndarray) -> None:
+        """Add cuts, in order, to the memory; those that stand ``apart`` are not encoded next to others."""
         sizes = np.array([len(c) for c in cuts], np.int64)
         call = np.cumsum(sizes) // CALL_BYTES
         new = np.ones(len(cuts), bool)
         new[1:] = (call[1:] != call[:-1]) | apart[1:] | apart[:-1]
         heads = np.append(np.flatnonzero(new), len(cuts))
-        joined = [b"".join(cuts[i:j]).decode() for i, j in zip(heads[:-1], heads[1:])]
-        found = tokenizer.encode(joined)
-        result: list[np.ndarray] = []
-        for i, j, ids in zip(heads[:-1], heads[1:], found):
-            if j - i == 1:
-                result.append(ids)
-                continue
-            at = np.cumsum(tokenizer.vocabulary.size[ids])
-            wanted = np.cumsum(sizes[i:j])
-            places = np.searchsorted(at, wanted)
-            if len(at) and at[-1] == wanted[-1] and (at[np.minimum(places, len(at) - 1)] == wanted).all():
-                result += np.split(ids, places[:-1] + 1)
-            else:  # some bytes do not come back: find out which
-                result += tokenizer.encode([c.decode() for c in cuts[i:j]])
-        return result
-
-    def _learn(self, cuts: list[bytes], apart: np.ndarray) -> None:
-        """Add cuts, in order, to the memory."""
-        found = [self._tokens(t, cuts, apart) for t in (self._a, self._b)]
-        whole = np.frombuffer(b"".join(cuts), np.uint8)
-        cut_ends = np.cumsum([len(c) for c in cuts])
-        good = np.ones(len(cuts), bool)
-        flat = []
-        for tokenizer, ids in zip((self._a, self._b), found):
-            joined = np.concatenate(ids)
-            spelt = tokenizer.vocabulary.spell(joined)
-            if len(spelt) == len(whole) and (spelt == whole).all():
-                flat.append(joined)
-                continue
-            ends = np.concatenate(([0], cut_ends))
-            for k, part in enumerate(ids):
-                own = tokenizer.vocabulary.spell(part)
-                good[k] &= len(own) == ends[k + 1] - ends[k] and bool((own == whole[ends[k] : ends[k + 1]]).all())
-        if not good.all():
-            kept = [k for k in range(len(cuts)) if good[k]]
-            found = [[ids[k] for k in kept] for ids in found]
-            cut_ends = np.cumsum([len(cuts[k]) for k in kept])
-            flat = [np.concatenate([np.zeros(0, np.int64), *ids]) for ids in found]
-        a, b = flat
-        end_a, end_b = (np.cumsum(t.vocabulary.size[ids]) for t, ids in zip((self._a, self._b), flat))
-        if len(a):
-            left, right, common = align(end_a, end_b)
-        else:
-            left = right = common = np.zeros(0, np.int64)
+        found = [self._tokens(t, cuts, sizes, heads) for t in (self._a, self._b)]
+        good = found[0][2] & found[1][2]
+        (a, n_a), (b, n_b) = ((ids[np.repeat(good, n)], n * good) for ids, n, _ in found)
+        end_a, end_b = self._a.vocabulary.size[a].cumsum(), self._b.vocabulary.size[b].cumsum()
+        left, right, common = align(end_a, end_b)
         keys = a[left] * self.width + b[right]
         numbers = self._pair_number
         distinct, back = np.unique(keys, return_inverse=True)
         before = len(numbers)
         own = np.fromiter((numbers.setdefault(k, len(numbers)) for k in distinct.tolist()), np.int64, len(distinct))
         self.pairs.extend(distinct[own >= before])  # numbered in this order
-
-        def per_cut(places: np.ndarray) -> np.ndarray:
-            return np.diff(np.searchsorted(places, cut_ends, "right"), prepend=0)
-
-        counts = np.zeros((4, len(cuts)), np.int64)
-        counts[:, good] = [per_cut(end_a), per_cut(end_b), per_cut(common), per_cut(end_a[left])]
         self._link.extend(own[back].astype(np.int32))
-        done = self._link_end.values[-1] if len(self._text) else 0
-        self._link_end.extend(done + np.cumsum(counts[3]))
-        for held, values in zip(self._sizes, counts):
-            held.extend(values)
-        texts = iter(self._spelt_groups(a, b, end_a, end_b, common, cut_ends))
-        for k, cut in enumerate(cuts):
-            self._cut_number[cut] = len(self._text)
-            self._text.append(next(texts) if good[k] else None)
 
-    @staticmethod
-    def _spelt_groups(a, b, end_a, end_b, common, cut_ends) -> Iterator[bytes]:
-        """The groups of each cut as text."""
-        at_a, at_b = np.searchsorted(end_a, common) + 1, np.searchsorted(end_b, common) + 1
-        last = np.searchsorted(common, cut_ends, "right")
-        words_a, words_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups, i, j = [], 0, 0
-        for x, y in zip(at_a.tolist(), at_b.tolist()):
-            groups.append(f"{','.join(words_a[i:x])}|{','.join(words_b[j:y])}")
-            i, j = x, y
-        start = 0
-        for end in last.tolist():
-            yield ";".join(groups[start:end]).encode()
-            start = end
+        # Cut by cut: how many groups end and how many links begin in it.
+        cut_end = (sizes * good).cumsum()
+        n_groups, n_links = (
+            np.diff(np.searchsorted(places, cut_end, "right"), prepend=0) * good for places in (common, end_a[left])
+        )
+        for held, values in zip(self._sizes, (n_a, n_b, n_groups, n_links)):
+            held.extend(values)
+        first = len(self._good.values)
+        self._good.extend(good)
+        self._link_end.extend((self._link_end.values[-1] if first else 0) + n_links.cumsum())
+        if self._with_text:
+            text, text_sizes = self._group_text(a, b, end_a, end_b, common)
+            text_end = np.concatenate(([0], text_sizes.cumsum()))
+            text_size = np.diff(text_end[np.concatenate(([0], n_groups.cumsum()))])
+            self._text_end.extend((self._text_end.values[-1] if first else 0) + text_size.cumsum())
+            self._text_size.extend(text_size)
+            self._text.extend(text)
+        self._cut_number.update(zip(cuts, range(first, first + len(cuts))))
+        self._held_bytes += int(sizes.sum())
+
+    def _group_text(self, a, b, end_a, end_b, common) -> tuple[np.ndarray, np.ndarray]:
+        """The text of all groups in a row, and the size of each: ids of A, a bar, ids of B, a semicolon."""
+        to_a, to_b = np.searchsorted(end_a, common, "right"), np.searchsorted(end_b, common, "right")
+        group_a = np.searchsorted(common, end_a)
+        group_b = np.searchsorted(common, end_b)
+        # Every id is spelt with what follows it, at its place among the ids of both sides.
+        last_a, last_b = end_a == common[group_a], end_b == common[group_b]
+        kinds = len(self._a.vocabulary.size), self.width
+        ids = np.empty(len(a) + len(b), np.int64)
+        before_b = np.concatenate(([0], to_b))
+        ids[np.arange(len(a)) + before_b[group_a]] = a + last_a * kinds[0]
+        ids[np.arange(len(b)) + to_a[group_b]] = 2 * kinds[0] + b + last_b * kinds[1]
+        spelt = self._decimal.size[ids].cumsum()
+        sizes = np.diff(spelt[to_a + to_b - 1], prepend=0)
+        return self._decimal.spell(ids), sizes
 
     def numbers(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The remembered cuts of all texts in a row, and the number of the first one of each text and one more."""
         if len(self._pair_number) > REMEMBERED_PAIRS:
             self._forget_pairs()
-        if len(self._text) > REMEMBERED_CUTS or self._held_bytes > HELD_BYTES:
+        if len(self._cut_number) > REMEMBERED_CUTS or self._held_bytes > HELD_BYTES:
             self._forget_cuts()
         data, starts, first, joinable = cut_at_spaces(data, offsets)
         array = pa.Array.from_buffers(
@@ -318,16 +318,14 @@ class Aligner:
             where = np.zeros(len(distinct), np.int64)
             where[at] = np.arange(len(at))  # a place of each distinct cut
             self._learn([distinct[i] for i in new], ~joinable[where[new]])
-            number[new] = np.arange(len(self._text) - len(new), len(self._text))
-            self._held_bytes += sum(len(distinct[i]) for i in new)
+            number[new] = np.arange(len(self._good.values) - len(new), len(self._good.values))
         return number[at], first
 
     def links(self, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pair numbers of all links of the cuts, and where each cut's end."""
         counts = self._sizes[3].values[cuts]
-        ends = np.cumsum(counts)
-        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self._link_end.values[cuts] - ends, counts)
-        return self._link.values[places], ends
+        places = _places(self._link_end.values[cuts] - counts, counts)
+        return self._link.values[places], counts.cumsum()
 
     def sums(self, cuts: np.ndarray) -> list[np.ndarray]:
         """Tokens of A and B, groups and links of each cut."""
@@ -335,24 +333,25 @@ class Aligner:
 
     def spelt(self, cuts: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Which texts have only cuts whose bytes come back."""
-        lost = np.fromiter((self._text[n] is None for n in cuts.tolist()), np.int64, len(cuts))
-        return _between(lost, first) == 0
+        return _between((~self._good.values[cuts]).astype(np.int64), first) == 0
 
     def digests(self, cuts: np.ndarray, first: np.ndarray, spelt: np.ndarray) -> list[str]:
         """The SHA-256 of each text's groups; '' if there are none or its bytes do not come back."""
-        texts, numbers = self._text, cuts.tolist()
-        found = []
-        for i, j, good in zip(first[:-1].tolist(), first[1:].tolist(), spelt.tolist()):
-            groups = b";".join([texts[n] for n in numbers[i:j]]) if good else b""
-            found.append(hashlib.sha256(groups).hexdigest() if groups else "")
-        return found
+        sizes = self._text_size.values[cuts]
+        text = self._text.values[_places(self._text_end.values[cuts] - sizes, sizes)]
+        ends = np.concatenate(([0], sizes.cumsum()))[first].tolist()
+        groups = zip(ends[:-1], ends[1:], spelt.tolist())
+        # The last group has no semicolon.
+        return [hashlib.sha256(text[i : j - 1]).hexdigest() if good and j > i else "" for i, j, good in groups]
 
 
-def _aligner(a_path: str, b_path: str) -> Aligner:
-    cache, name = worker_cache(), f"aligner:{a_path}:{b_path}"
-    if name not in cache:
-        cache[name] = Aligner(a_path, b_path)
-    return cache[name]
+def _aligner(a_path: str, b_path: str, with_text: bool) -> Aligner:
+    """The aligner of a worker, which keeps one."""
+    cache, key = worker_cache(), (a_path, b_path, with_text)
+    if cache.get("aligner", (None,))[0] != key:
+        cache.pop("aligner", None)
+        cache["aligner"] = key, Aligner(*key)
+    return cache["aligner"][1]
 
 
 class PerfectHash:
@@ -438,7 +437,7 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """``pair`` and ``docs``: for each task, in how many of its documents a pair is linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(a_path, b_path)
+        aligner = _aligner(a_path, b_path, False)
         counts, era = np.zeros(0, np.int64), aligner.era
 
         def flushed() -> Iterator[pa.RecordBatch]:
@@ -546,7 +545,7 @@ def lookup(docs: DataFrame, a_path: str, b_path: str, table, best) -> DataFrame:
     schema = f"doc {kind}, {', '.join(f'{name} long' for name in COUNTS)}, groups_sha256 string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(a_path, b_path)
+        aligner = _aligner(a_path, b_path, True)
         pairs, highest = PairTable(*table.value), best.value
         era, counts, is_best = -1, np.zeros(0, np.int64), np.zeros(0, bool)
         for batch in batches:
