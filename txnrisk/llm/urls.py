@@ -1,13 +1,17 @@
-"""URL filters: mined association rules over URL tokens, and explicit rules for hosts and paths.
+"""URL filters: association rules mined from labelled URLs by FP-growth, and explicit rules for hosts and paths.
 
-The combinations of up to ``MAX_RULE_TOKENS`` tokens of labelled URLs are counted. Those that belong to
-blocked ones clearly more often than URLs at large, beyond chance, become rules; a rule is pruned if a
-part of it is as confident.
-Each rule is indexed under its rarest token: a URL meets only rules indexed under one of its
-tokens, and fits those whose other tokens it has as well.
+Baskets are the tokens of labelled URLs, with a mark as one more item where the URL is blocked. Spark's FP-growth
+finds all token combinations, of any length, that enough URLs have, alone and together with the mark. A combination becomes a rule
+if enough blocked URLs have it and its share of blocked ones is clearly above that of all URLs, beyond
+chance; a rule is pruned if a part of it is as confident.
+
+Tokens that all URLs have, or that exactly the same URLs have as another token, tell nothing more and would double the
+combinations each, so they are left out first; a rule that could name any of several such tokens names the first of
+them. Rarer tokens than the least support cannot be in a rule. The work still grows with the number of
+frequent combinations, which nested tokens multiply.
 
-Each combination is in at least ``MIN_ROWS`` labelled rows; Spark decides by size whether to broadcast
-the rules.
+Each rule is indexed under its rarest token: a URL meets only rules indexed under one of its
+tokens, and fits those whose other tokens it has as well. Spark decides by size whether to broadcast the rules.
 
 Defined results: a null or unreadable URL has an empty host and path, no tokens and no rule, and is
 allowed; repeated rows are judged alike; without labels nothing is mined; extra columns are ignored.
@@ -15,9 +19,9 @@ allowed; repeated rows are judged alike; without labels nothing is mined; extra
 
 from __future__ import annotations
 
-from itertools import combinations
 from math import log
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,14 +35,14 @@ EXPLICIT = [
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 ]
-#: Labelled rows that a combination must be in, whatever their number in all.
+#: Blocked rows that a rule must be in, whatever the number of rows.
 MIN_ROWS = 5
 #: The least share of blocked rows of a rule, as a multiple of that of all rows; for a high share
 #: of all rows, the least divisor of the share that is not blocked.
 MIN_LIFT = 1.5
 #: The chance that any combination at all becomes a rule if labels are dealt out at random, at most.
 MAX_CHANCE = 0.05
-MAX_RULE_TOKENS = 3
+#: The item of blocked URLs; tokens begin with a letter.
 BLOCKED = "\N{WHITE SQUARE}blocked"
 NUMBER = "#"
 
@@ -75,34 +79,34 @@ def mine_rules(
     labelled: DataFrame,
     tokens_col: str = "tokens",
     blocked_col: str = "blocked",
-    max_tokens: int = MAX_RULE_TOKENS,
     min_rows: int = MIN_ROWS,
     min_lift: float = MIN_LIFT,
     max_chance: float = MAX_CHANCE,
 ) -> DataFrame:
-    """Pruned rules: ``rule_tokens``, ``index_token``, ``support`` and ``confidence``.
+    """Pruned rules: ``rule_tokens``, ``index_token``, ``support`` (share of blocked rows that have it) and ``confidence``.
 
-    A basket has all tokens of a URL that are in ``min_rows`` baskets. The chance of a share of blocked
-    rows as high as a rule's is bounded by Chernoff, and that of any among all combinations by their number.
+    The chance of a share of blocked rows as high as a rule's is bounded by Chernoff, and that of any among all
+    combinations by their number.
     """
     blocked = F.coalesce(F.col(blocked_col), F.lit(False)).cast("long").alias("blocked")
-    baskets = labelled.select(F.array_sort(F.array_distinct(tokens_col)).alias("items"), blocked)
-    baskets = stored(baskets, "url-baskets")
-    baskets = stored(_frequent(baskets, min_rows), "url-frequent")
-    counts = stored(_combinations(baskets, max_tokens, min_rows), "url-combinations")
+    items = F.array_distinct(F.array_compact(F.coalesce(tokens_col, F.array().cast("array<string>"))))
+    baskets = stored(labelled.select(F.monotonically_increasing_id().alias("row_key"), items.alias("items"), blocked), "url-baskets")
     total, base = baskets.agg(F.count("*"), F.avg("blocked")).first()
+    if not total or not 0 < base < 1:
+        return _no_rules(labelled)
+    counts = stored(_combinations(_telling(baskets, min_rows, total), min_rows, total), "url-combinations")
     tests = counts.count()
-    if not tests or not 0 < base < 1:
-        return counts.select("rule_tokens", F.lit("").alias("index_token"), "support", "confidence").limit(0)
+    if not tests:
+        return _no_rules(labelled)
     share = F.col("confidence")
     evidence = F.col("rows") * (
         share * F.ln(share / base) + F.when(share < 1, (1 - share) * F.ln((1 - share) / (1 - base))).otherwise(0.0)
     )
     rules = (
-        counts.filter(share > base)
+        counts.filter(F.col("blocked") >= min_rows)
         .filter(share >= min(base * min_lift, 1 - (1 - base) / min_lift))
         .filter(evidence >= log(tests / max_chance))
-        .select("rule_tokens", (F.col("support") / total).alias("support"), "confidence")
+        .select("rule_tokens", (F.col("blocked") / total).alias("support"), "confidence")
     )
     single = counts.filter(F.size("rule_tokens") == 1).select(F.col("rule_tokens")[0].alias("token"), "rows")
     rarest = (
@@ -111,52 +115,55 @@ def mine_rules(
         .groupBy("rule_tokens")
         .agg(F.min_by("token", F.struct("rows", "token")).alias("index_token"))
     )
-    return prune(rules, max_tokens).join(rarest, "rule_tokens").select(
-        "rule_tokens", "index_token", "support", "confidence"
-    )
+    return prune(rules.join(rarest, "rule_tokens")).select("rule_tokens", "index_token", "support", "confidence")
 
 
-def _frequent(baskets: DataFrame, min_rows: int) -> DataFrame:
-    """The baskets without the tokens in too few of them, which no combination in enough rows has."""
-    tokens = baskets.withColumn("row_key", F.monotonically_increasing_id()).withColumn("token", F.explode_outer("items"))
-    frequent = tokens.groupBy("token").agg(F.count("*").alias("rows")).filter(F.col("rows") >= min_rows).select("token", "rows")
-    return (
-        tokens.join(frequent, "token", "left")
-        .groupBy("row_key")
-        .agg(F.array_sort(F.collect_list(F.when(F.col("rows").isNotNull(), F.col("token")))).alias("items"), F.first("blocked").alias("blocked"))
-        .select("items", "blocked")
-    )
+def _no_rules(any_frame: DataFrame) -> DataFrame:
+    schema = "rule_tokens array<string>, index_token string, support double, confidence double"
+    return any_frame.sparkSession.createDataFrame([], schema)
 
 
-def _combinations(baskets: DataFrame, max_tokens: int, min_rows: int) -> DataFrame:
-    """Rows, blocked rows as ``support`` and their share of every combination in enough rows."""
-    level = baskets.select("items", "blocked", F.explode("items").alias("last")).withColumn("rule_tokens", F.array("last"))
-    every = level
-    for _ in range(1, max_tokens):
-        later = F.filter("items", lambda item: item > F.col("last"))
-        level = level.select("items", "blocked", "rule_tokens", F.explode(later).alias("last")).select(
-            "items", "blocked", "last", F.concat("rule_tokens", F.array("last")).alias("rule_tokens")
-        )
-        every = every.unionByName(level)
-    return (
-        every.groupBy("rule_tokens")
-        .agg(F.count("*").alias("rows"), F.sum("blocked").cast("double").alias("support"))
-        .filter(F.col("rows") >= min_rows)
-        .withColumn("confidence", F.col("support") / F.col("rows"))
+def _telling(baskets: DataFrame, min_rows: int, total: int) -> DataFrame:
+    """The baskets with one token of each set of rows that has at least ``min_rows`` of them and not all."""
+    tokens = baskets.select("row_key", F.explode("items").alias("token"))
+    key = F.xxhash64("row_key")
+    # Two sums over hashes of the rows tell sets of rows apart.
+    sets = tokens.groupBy("token").agg(
+        F.count("*").alias("rows"), F.bit_xor(key).alias("x"), F.sum(key.cast("decimal(38,0)")).alias("s")
+    )
+    kept = sets.filter((F.col("rows") >= min_rows) & (F.col("rows") < total)).groupBy("rows", "x", "s").agg(F.min("token").alias("token"))
+    of_row = tokens.join(kept.select("token"), "token").groupBy("row_key").agg(F.collect_list("token").alias("telling"))
+    mark = F.when(F.col("blocked") == 1, F.array(F.lit(BLOCKED))).otherwise(F.array().cast("array<string>"))
+    telling = F.coalesce("telling", F.array().cast("array<string>"))
+    return baskets.join(of_row, "row_key", "left").select(F.concat(telling, mark).alias("items"))
+
+
+def _combinations(baskets: DataFrame, min_rows: int, total: int) -> DataFrame:
+    """``rule_tokens``, ``rows``, ``blocked`` and their share, of every token combination in at least ``min_rows`` rows."""
+    growth = FPGrowth(itemsCol="items", minSupport=(min_rows - 0.5) / total)
+    found = growth.fit(stored(baskets, "url-items")).freqItemsets
+    marked = F.array_contains("items", BLOCKED)
+    tokens = F.array_sort(F.array_remove("items", BLOCKED)).alias("rule_tokens")
+    alone = found.filter(~marked).select(tokens, F.col("freq").alias("rows"))
+    with_mark = found.filter(marked & (F.size("items") > 1)).select(tokens, F.col("freq").alias("blocked"))
+    blocked = F.coalesce("blocked", F.lit(0))
+    return alone.join(with_mark, "rule_tokens", "left").select(
+        "rule_tokens", "rows", blocked.alias("blocked"), (blocked / F.col("rows")).alias("confidence")
     )
 
 
-def prune(rules: DataFrame, max_tokens: int = MAX_RULE_TOKENS) -> DataFrame:
-    """Leave out each rule of which a part is a rule as confident as the whole."""
-    parts = [c for size in range(1, max_tokens) for c in combinations(range(max_tokens), size)]
-    part = F.explode(F.array_distinct(F.array(*[F.array_compact(F.array(*[F.get("rule_tokens", i) for i in c])) for c in parts])))
+def prune(rules: DataFrame) -> DataFrame:
+    """Leave out each rule of which a part is a rule as confident as the whole; parts are found by their index token."""
+    parts = rules.select(
+        "index_token", F.col("rule_tokens").alias("part"), F.col("confidence").alias("part_confidence")
+    )
     better = (
-        rules.select("rule_tokens", "confidence", part.alias("part"))
-        .filter((F.size("part") > 0) & (F.size("part") < F.size("rule_tokens")))
-        .join(rules.select(F.col("rule_tokens").alias("part"), F.col("confidence").alias("part_confidence")), "part")
-        .filter("part_confidence >= confidence")
+        rules.select("rule_tokens", "confidence", F.explode("rule_tokens").alias("index_token"))
+        .join(parts, "index_token")
+        .filter(F.size("part") < F.size("rule_tokens"))
+        .filter((F.size(F.array_except("part", "rule_tokens")) == 0) & (F.col("part_confidence") >= F.col("confidence")))
     )
-    return rules.join(better, "rule_tokens", "left_anti")
+    return rules.join(better.select("rule_tokens").distinct(), "rule_tokens", "left_anti")
 
 
 def judge(
