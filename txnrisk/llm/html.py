@@ -1,15 +1,22 @@
 """Main text of web pages by two passes of block rules.
 
 A page is cut into blocks at block-level tags. The first pass classifies each block by itself:
-containers of menus, adverts and the like are boilerplate, as are blocks made of links; long blocks
+containers of menus, adverts, comments and the like are boilerplate, as are blocks made of links, in an article only
+``MENU_ITEMS`` list items in a row that are nothing but links; long blocks
 with enough stop words, or in a script that has none here, are text; what is short or in between
 stays open. The second pass gives open blocks the label of the nearest decided neighbours; on a page
-without an article and without decided text, all blocks that are not boilerplate are text. Pages are independent rows: nothing is
-shuffled, and each task holds a batch of pages.
+without an article and without decided text, all blocks that are not boilerplate are text. In an article an open block is
+text unless it stands between two menus, and containers say nothing about what is beside them. Pages are independent
+rows: nothing is shuffled, and each task holds a batch of pages.
+
+Containers are known by their tag, or by the parts of a class, id or role name. A name that ends in a boilerplate word is
+one (``user-comments``); one that has it elsewhere is too (``comment-thread``), unless it also names content or
+a state of the page (``content-sidebar-wrap``, ``has-sidebar``). Words with other meanings, such as ``share``, count
+only by themselves or beside words of layout.
 
 Defined results: null, empty or textless html gives an empty string; broken markup is read as far
 as it goes, with unclosed tags closed at the end; repeated pages are read alike; extra columns are
-ignored.
+kept, and one with the name of the result is replaced by it.
 """
 
 from __future__ import annotations
@@ -17,6 +24,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -50,31 +58,46 @@ RAW_TAGS = frozenset("script style textarea xmp noembed noframes iframe title".s
 HIDDEN_TAGS = frozenset("head noscript template svg math select button object canvas audio video datalist".split())
 BOILER_TAGS = frozenset("nav footer aside form menu dialog search".split())
 TEXT_ROOTS = frozenset("article main".split())
-#: Class, id or role names of boilerplate, whole or beside qualifiers.
-BOILER_NAMES = frozenset(
-    """ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies
-    consent gdpr notice notices alert popup modal overlay sidebar sidebars menu menus nav navbar navigation breadcrumb
-    breadcrumbs pagination pager footer masthead toolbar widget widgets related recommended recommendations share
-    sharing social newsletter subscribe subscription signup login comment comments respond reply replies disqus
-    skip copyright complementary contentinfo""".split()
+#: Parts of a class, id or role name that name boilerplate wherever they stand.
+CLEAR_NAMES = frozenset(
+    """ad ads adv advert adverts advertisement advertisements advertising adsense sponsor sponsored sponsors cookie cookies
+    gdpr popup sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager footer
+    masthead toolbar newsletter comment comments commenting disqus contentinfo""".split()
+)
+#: Names that mean boilerplate by themselves or beside words of layout only.
+OTHER_NAMES = frozenset(
+    """banner promo promotion consent notice notices alert modal overlay widget widgets related recommended
+    recommendations share sharing social subscribe subscription signup login respond reply replies skip copyright
+    complementary""".split()
 )
+BOILER_NAMES = CLEAR_NAMES | OTHER_NAMES
 #: Named elements that stay boilerplate around an article: its comments, menus and sidebars.
 STRICT_NAMES = frozenset(
-    """comment comments respond reply replies disqus menu menus nav navbar navigation breadcrumb breadcrumbs
+    """comment comments commenting respond reply replies disqus menu menus nav navbar navigation breadcrumb breadcrumbs
     pagination pager sidebar sidebars widget widgets related recommended recommendations complementary""".split()
 )
-#: Parts that may stand beside those names in a hyphenated one, as in site-footer or comment-list.
+#: Parts beside which such a name is about the text or the page, unless the name comes last.
+CONTENT_NAMES = frozenset("article body content entry main page post story text".split())
+STATE_NAMES = frozenset("has have no non not with without hide hidden show is open closed off on".split())
+#: Words of layout.
 QUALIFIERS = frozenset(
     """site main top bottom left right primary secondary global box block bar list links buttons section area slot
-    unit form item items posts articles""".split()
+    unit form item items posts articles container wrapper wrap inner outer group""".split()
+)
+#: Names written as one word, such as adbox or commentlist.
+GLUED = re.compile(
+    r"(ads?|adv|advert|comments?|cookies?|sidebar|menu|nav|footer)"
+    r"(area|bar|block|box|container|form|frame|holder|list|notice|panel|section|slot|space|thread|unit|wrap|wrapper|zone)s?"
 )
 PAGE_HEADERS = frozenset("header site-header page-header top-bar topbar".split())
 PART = re.compile(r"[-_]+")
+#: A quote in a tag matters only behind an equals sign.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*)>?",
+    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*)>?",
     re.S,
 )
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+ATTRIBUTE = re.compile(r"([^\s=/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 HIDDEN, WRAPPER, STRICT = "hidden", "wrapper", "strict"
 SPACE = re.compile(r"\s+")
 WORD = re.compile(r"[^\W\d_]+")
@@ -86,7 +109,10 @@ UNSPACED_WORD = 2
 LONG_WORDS = 12
 MIN_STOP_SHARE = 0.08
 MAX_LINK_SHARE = 0.4
-GOOD, BAD, OPEN = "text", "boilerplate", "open"
+#: List items in a row that make a menu in an article, and the share of links in each.
+MENU_ITEMS = 3
+MENU_SHARE = 0.9
+GOOD, BAD, OPEN, LINKS = "text", "boilerplate", "open", "links"
 
 
 class Block:
@@ -102,17 +128,22 @@ class Block:
 
 
 def _named(value: str, in_root: bool) -> str:
-    """What the names of a class, id or role value make of an element; hyphenated ones count as a whole."""
+    """What the names of a class, id or role value make of an element."""
     found = ""
     for name in value.split():
-        parts = {name} if name in BOILER_NAMES else {part for part in PART.split(name) if part}
-        known = parts & BOILER_NAMES
-        if known and known | QUALIFIERS >= parts:
+        parts = [part for part in PART.split(name) if part]
+        parts = [GLUED.fullmatch(part).group(1) if GLUED.fullmatch(part) else part for part in parts]
+        known = BOILER_NAMES.intersection(parts)
+        if not known:
+            if not in_root and name in PAGE_HEADERS:
+                found = WRAPPER
+            continue
+        plain = QUALIFIERS.union(known).issuperset(parts)  # nothing but its words and words of layout
+        clear = CLEAR_NAMES.intersection(known) and not STATE_NAMES.intersection(parts)
+        if plain or (clear and (parts[-1] in CLEAR_NAMES or not CONTENT_NAMES.intersection(parts))):
             if known & STRICT_NAMES:
                 return STRICT
             found = WRAPPER
-        elif not in_root and name in PAGE_HEADERS:
-            found = WRAPPER
     return found
 
 
@@ -199,12 +230,14 @@ def blocks(page: str) -> Iterator[Block]:
 
 def first_pass(block: Block, text: str, has_root: bool) -> str:
     """The label of a block by itself."""
-    if block.closed_off or (has_root and not block.in_root):
+    if block.closed_off:
         return BAD
     solid = len(text) - text.count(" ")
-    if block.linked > MAX_LINK_SHARE * solid and (block.tag == "li" or not block.in_root):
+    if has_root and block.tag == "li" and block.linked > MENU_SHARE * solid:
+        return LINKS
+    if not has_root and block.linked > MAX_LINK_SHARE * solid:
         return BAD
-    if text.startswith("©") and not block.in_root:
+    if not has_root and text.startswith("©"):
         return BAD
     words = WORD.findall(text.lower())
     if not text.isascii():
@@ -218,12 +251,21 @@ def first_pass(block: Block, text: str, has_root: bool) -> str:
     return GOOD if stops >= MIN_STOP_SHARE * len(words) else OPEN
 
 
-def second_pass(labels: list[str], in_root: list[bool]) -> list[str]:
+def menus(labels: list[str]) -> list[str]:
+    """Link items of an article: boilerplate where enough stand in a row, open elsewhere."""
+    found = []
+    for label, run in groupby(labels):
+        size = len(list(run))
+        found += [(BAD if size >= MENU_ITEMS else OPEN) if label == LINKS else label] * size
+    return found
+
+
+def second_pass(labels: list[str], has_root: bool) -> list[str]:
     """Open blocks inherit from the nearest decided block on either side.
 
     Two equal neighbours decide at once. Between different ones the nearer wins, and text wins a
-    tie. Without a decided neighbour, open blocks are text inside an article only. Blocks in an
-    article ask only neighbours in it.
+    tie. Without a decided neighbour, open blocks are boilerplate. In an article only two neighbours that are
+    boilerplate both make an open block boilerplate.
     """
     last: list[tuple[int, str] | None] = []
     seen = None
@@ -238,16 +280,15 @@ def second_pass(labels: list[str], in_root: list[bool]) -> list[str]:
             seen = (i, labels[i])
             continue
         left, right = last[i], seen
-        if in_root[i]:
-            left = left if left and in_root[left[0]] else None
-            right = right if right and in_root[right[0]] else None
-        if left and right and left[1] != right[1]:
+        if has_root:
+            found[i] = BAD if left and right and left[1] == right[1] == BAD else GOOD
+        elif left and right and left[1] != right[1]:
             near, far = i - left[0], right[0] - i
             found[i] = GOOD if near == far else (left if near < far else right)[1]
         elif left or right:
             found[i] = (left or right)[1]
         else:
-            found[i] = GOOD if in_root[i] else BAD
+            found[i] = BAD
     return found
 
 
@@ -255,12 +296,12 @@ def main_text(page: str | None) -> str:
     """The blocks of the main text, joined by an empty line."""
     found = [(block, text) for block in blocks(page or "") if (text := block.text()) or block.closed_off]
     has_root = any(block.in_root and text for block, text in found)
-    if has_root:  # an advert inside an article says nothing about its neighbours
-        found = [(block, text) for block, text in found if not block.closed_off]
-    labels = [first_pass(block, text, has_root) for block, text in found]
+    if has_root:  # only the article counts, and what was left out of it says nothing about its neighbours
+        found = [(block, text) for block, text in found if block.in_root and not block.closed_off]
+    labels = menus([first_pass(block, text, has_root) for block, text in found])
     if not has_root and GOOD not in labels:  # short or in another language: length and links decide alone
         labels = [GOOD if label == OPEN else label for label in labels]
-    labels = second_pass(labels, [block.in_root for block, _ in found])
+    labels = second_pass(labels, has_root)
     return "\n\n".join(text for (_, text), label in zip(found, labels) if label == GOOD)
 
 
