@@ -1,5 +1,5 @@
 import hashlib
-from statistics import mean
+from statistics import mean, stdev
 
 from pyspark.sql import functions as F
 
@@ -49,12 +49,58 @@ def test_parts_merge_to_the_whole(spark, medium):
     whole = (
         parts.select("k", F.explode(fp.shingle_hashes(F.col("text"))).alias("h"))
         .groupBy("k")
-        .agg(fp.bottom(F.collect_set("h")).alias("want"), F.countDistinct("h").alias("n"))
-        .withColumn("estimate", fp.distinct_shingles(F.col("want")))
+        .agg(fp.bottom(F.collect_set("h")).alias("want"))
     )
     for row in whole.collect():
         assert merged[row.k] == row.want
-        assert abs(row.estimate - row.n) < 0.4 * row.n
+
+
+def test_estimates_of_the_number_of_shingles(spark, medium):
+    """Over several hashes of the same shingles the estimate is right on average, and as close as its size allows."""
+    hashes = (
+        medium.select(F.when(F.col("doc_id") % 3 == 0, 0).otherwise(F.col("doc_id") % 50).alias("k"), "text")
+        .select("k", F.explode(fp.shingle_hashes(F.col("text"))).alias("h"))
+        .distinct()
+        .select("k", F.explode(F.sequence(F.lit(1), F.lit(8))).alias("seed"), "h")
+    )
+    found = (
+        hashes.groupBy("k", "seed")
+        .agg(F.count("*").alias("n"), fp.bottom(F.collect_set(F.xxhash64("h", "seed"))).alias("smallest"))
+        .select("n", fp.distinct_shingles(F.col("smallest")).alias("estimate"))
+        .collect()
+    )
+    errors = [row.estimate / row.n - 1 for row in found]
+    assert len(errors) > 200 and min(row.n for row in found) > fp.K
+    spread = 1 / (fp.K - 2) ** 0.5
+    assert abs(mean(errors)) < 4 * spread / len(errors) ** 0.5
+    assert 0.8 * spread < stdev(errors) < 1.2 * spread
+
+
+def test_buckets_are_even_whatever_the_ids(spark, monkeypatch):
+    """One far-off id, or none at all, does not put the others into one bucket."""
+    monkeypatch.setattr(fp, "BUCKET_ROWS", 50)
+    ids = [*range(4000), *range(10**15, 10**15 + 4000), 2**62, -(2**62)] + [None] * 2000
+    rows = [(i, f"text {n}") for n, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, body string").repartition(4)
+    followed = fp.with_next(docs, "doc_id", "body", ["doc_id"])
+    found = {r.body: r.next.doc_id for r in followed.collect()}
+    named = [r for r in rows if r[0] is not None]
+    order = sorted(named)
+    for (_, text), (after, _) in zip(order, order[1:]):
+        assert found[text] == after
+    assert len(found) == len(rows) and found[order[-1][1]] is None
+    sizes = []
+    real = fp._bucket
+
+    def spy(*args):
+        column = real(*args)
+        keyed = docs.withColumn("next_order", F.struct(F.col("doc_id").alias("id"), F.xxhash64("body").alias("hash")))
+        sizes.extend(r["count"] for r in keyed.groupBy(column.alias("b")).count().collect())
+        return column
+
+    monkeypatch.setattr(fp, "_bucket", spy)
+    fp.with_next(docs, "doc_id", "body", ["doc_id"])
+    assert max(sizes) < 500
 
 
 def test_small_sketches_are_exact(spark):

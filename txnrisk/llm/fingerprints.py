@@ -22,6 +22,8 @@ K = 128
 #: Rows sorted together when the next row in id order is looked up, and the most such buckets.
 BUCKET_ROWS = 2000
 MAX_BUCKETS = 100_000
+#: Cells of about equally many rows that ids are cut into before the buckets.
+CELLS = 256
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -119,15 +121,15 @@ def with_next(
 
     Equal ids follow each other by text hash, null ids come first. Rows are dealt into buckets of
     adjoining ids, each with a copy of the row that opens the next one, so each row is shuffled once
-    and no task sorts more than a bucket. ``derive`` adds columns to all rows before that, once.
+    and no task sorts more than a bucket. Buckets are cells of equally many rows cut evenly by id, and null ids are cut
+    by text hash, so ids far from the others do not widen a bucket. ``derive`` adds columns to all rows before that, once.
     """
     order = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
-    low, high, count = rows.agg(F.min(id_col), F.max(id_col), F.count("*")).first()
-    low, high = low or 0, high or 0
+    shares = [i / CELLS for i in range(CELLS + 1)]
+    cuts, named, count = rows.agg(F.percentile_approx(id_col, shares, 20 * CELLS), F.count(id_col), F.count("*")).first()
     buckets = max(1, min(MAX_BUCKETS, count // BUCKET_ROWS))
-    width = max(1, -(-(high - low + 1) // buckets))
-    bucket = F.coalesce(F.floor((F.col(id_col) - low) / width), F.lit(-1)).cast("long")
-    keyed = rows.select("*", order.alias("next_order"), bucket.alias("next_bucket"))
+    keyed = rows.select("*", order.alias("next_order"))
+    keyed = keyed.withColumn("next_bucket", _bucket(id_col, sorted(set(cuts or [0])), buckets, named, count))
 
     firsts = keyed.groupBy("next_bucket").agg(F.min("next_order").alias("first"))
     by_bucket = Window.orderBy("next_bucket")
@@ -155,6 +157,23 @@ def with_next(
     )
 
 
+def _bucket(id_col: str, cuts: list, buckets: int, named: int, count: int) -> Column:
+    """The number of a row's bucket, in the order of ids and text hashes; negative ones are for null ids."""
+    share = F.col("next_order.hash") / F.lit(2.0**64) + 0.5
+    nameless = max(1, buckets * (count - named) // max(count, 1))
+    of_null = F.least(F.floor(share * nameless), F.lit(nameless - 1)) - nameless
+    if len(cuts) == 1:
+        return F.when(F.col(id_col).isNull(), of_null).otherwise(F.lit(0)).cast("long")
+    bounds = F.array(*map(F.lit, cuts))
+    cell = F.greatest(F.size(F.filter(bounds, lambda cut: cut <= F.col(id_col))), F.lit(1))
+    cell = F.least(cell, F.lit(len(cuts) - 1))
+    inner = max(1, -(-buckets // (len(cuts) - 1)))
+    low, high = F.element_at(bounds, cell), F.element_at(bounds, cell + 1)
+    inside = F.floor((F.col(id_col) - low) * F.lit(float(inner)) / (high - low))
+    inside = F.least(F.greatest(inside, F.lit(0)), F.lit(inner - 1))
+    return F.when(F.col(id_col).isNull(), of_null).otherwise((cell - 1) * inner + inside).cast("long")
+
+
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document's fingerprint against that of its edited text and of the next document.
 
