@@ -28,10 +28,10 @@ BASE = {
 }
 MIN_ASSIGNED = 6
 MORE = {
-    "private_key": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
+    "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
     "web_token": r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}",
     "issued": r"(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9_-]{20,}|AIza[0-9A-Za-z_-]{35})",
-    "login": r"://[^\s:/@]{1,64}:[^\s:/@]{6,64}@",
+    "login": r"://[^\s:/@]++:[^\s:/@]{6,}+@",
 }
 KINDS = [*BASE, *MORE]
 #: A value with this many owners or repositories is a copied example.
