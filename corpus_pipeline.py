@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from txnrisk.llm import jaccard, lines, mixing, packing, quality
 from txnrisk.llm.registry import MIX, domain_of, tokenizer_path
-from txnrisk.llm.tables import read, stored
+from txnrisk.llm.tables import read
+from txnrisk.sources.tables import discard, materialize, scratch
 
 
 def with_length(docs: DataFrame) -> DataFrame:
@@ -53,8 +54,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result but the last is stored for the next stage."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages over ``documents``; each result but the last is stored for the next stage.
+
+    What a stage stores on the way is deleted once its result is written, and so is what the next stage has read.
+    """
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with scratch(spark):
+            docs = materialize(stage(spark, docs, sf_dir), name, outlast=True)
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -496,8 +496,27 @@ DASHBOARDS = {
         GROUP BY alert_status ORDER BY alert_count DESC""",
 }
 
+TRIALS = {
+    "write_replace": "SELECT * FROM raw WHERE step <= 100",
+    "ensure_tables": "SELECT * FROM clean",
+    "write_append": "SELECT *, 'fraud_logistic_regression' AS model_used FROM summaries",
+    "append_log_row": f"""SELECT {RUN} AS run_date, 'raw.transactions' AS table_name,
+        'SUCCESS' AS status, count(*) AS row_count FROM raw""",
+    "gate_load": """SELECT rows_checked, count(k) > 0 AND coalesce(sum(f) * 100::DOUBLE / count(k), 0) <= 10 AS passes
+        FROM (VALUES ('all'), ('none'), ('fraud'), ('PAYMENT'), ('TRANSFER'), ('CASH_OUT'), ('DEBIT'), ('CASH_IN')) c(rows_checked)
+        LEFT JOIN (SELECT type, isFraud AS f, 1 AS k FROM raw) r
+          ON rows_checked = 'all' OR (rows_checked = 'fraud' AND f = 1) OR rows_checked = type
+        GROUP BY rows_checked""",
+    "gate_non_empty": """SELECT 'hour ' || h AS rows_checked, EXISTS (SELECT 1 FROM raw WHERE step % 24 = h) AS passes
+        FROM (VALUES (0), (5), (23)) c(h)
+        UNION ALL SELECT 'later', EXISTS (SELECT 1 FROM raw WHERE step > 100000)""",
+    "gate_features": """SELECT 'all' AS rows_checked, NOT EXISTS (SELECT 1 FROM features WHERE amount_to_balance_ratio < 0
+            OR type_encoded = 0 OR hour_of_step NOT BETWEEN 0 AND 23) AS passes
+        UNION ALL SELECT 'debts', NOT EXISTS (SELECT 1 FROM features WHERE orig_balance_zero_after = 1 AND amount > 0)""",
+}
+
 ORACLE = {
     name: TABLES + select
-    for group in (SOURCES, CHECKS, CLEANING, FEATURES, MODELS, SCORING, DASHBOARDS)
+    for group in (SOURCES, CHECKS, CLEANING, FEATURES, MODELS, SCORING, DASHBOARDS, TRIALS)
     for name, select in group.items()
 }

@@ -19,6 +19,7 @@ from txnrisk.operators import cleaning, dashboards, evaluation, models, quality,
 from txnrisk.operators.features import large_amount_threshold, threshold_column
 from txnrisk.operators.certificates import lloyd_step, logistic_gradient
 from txnrisk.plans.tables import AS_OF, LOG_LOSS_CLAMP, RunTables, fixed_models, run_ts
+from txnrisk.plans.trial_tables import TRIALS
 from txnrisk.sources.tables import materialize, shared_dir
 from txnrisk.sources.transactions_csv import read_transactions_csv
 from txnrisk.values import (
@@ -341,6 +342,7 @@ ALL: dict[str, Query] = {
     **MODELS,
     **SCORING,
     **DASHBOARDS,
+    **TRIALS,
 }
 
 

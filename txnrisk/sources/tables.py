@@ -26,8 +26,25 @@ MARKER = "_committed"
 KEPT_VERSIONS = 2
 
 
+_prefix: ContextVar[str] = ContextVar("prefix", default="")
+
+
+@contextmanager
+def databases_named(prefix: str):
+    """Let all functions here work on databases of their own, whose names begin with the prefix."""
+    token = _prefix.set(prefix)
+    try:
+        yield
+    finally:
+        _prefix.reset(token)
+
+
+def _in_catalog(name: str) -> str:
+    return _prefix.get() + name
+
+
 def _root(spark: SparkSession, name: str) -> str:
-    database, table = name.split(".")
+    database, table = _in_catalog(name).split(".")
     return f"{spark.catalog.getDatabase(database).locationUri}/{table}"
 
 
@@ -52,9 +69,9 @@ def _commit(spark: SparkSession, name: str, path: str) -> None:
 
 
 def _location(spark: SparkSession, name: str) -> str | None:
-    if not spark.catalog.tableExists(name):
+    if not spark.catalog.tableExists(_in_catalog(name)):
         return None
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_in_catalog(name)}").where("col_name = 'Location'").first()
     return described.data_type
 
 
@@ -63,22 +80,23 @@ def _point(spark: SparkSession, name: str, path: str) -> None:
     known = _location(spark, name)
     if known is not None and known.rsplit("/", 1)[1] == path.rsplit("/", 1)[1]:
         return
+    table = _in_catalog(name)
     if known is not None and name not in RUN_TIMESTAMP:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     else:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")  # the files of an external table stay
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # the files of an external table stay
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLES[name])
         by_day = f", {RUN_DAY} DATE) USING parquet PARTITIONED BY ({RUN_DAY})" if name in RUN_TIMESTAMP else ") USING parquet"
-        spark.sql(f"CREATE TABLE {name} ({columns}{by_day} LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE {table} ({columns}{by_day} LOCATION '{path}'")
         if name in RUN_TIMESTAMP:
-            spark.catalog.recoverPartitions(name)
-    spark.catalog.refreshTable(name)
+            spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
 
 
 def ensure_tables(spark: SparkSession) -> None:
     """Find each of the eleven tables in the warehouse folder, or create it, empty, with its schema."""
     for name, schema in TABLES.items():
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_in_catalog(name).split('.')[0]}")
         found = _versions(spark, name)
         if found:
             _point(spark, name, found[-1])
@@ -89,8 +107,8 @@ def ensure_tables(spark: SparkSession) -> None:
 def drop_tables(spark: SparkSession) -> None:
     """Remove the tables with their rows."""
     for name in TABLES:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_in_catalog(name).split('.')[0]}")
+        spark.sql(f"DROP TABLE IF EXISTS {_in_catalog(name)}")
         delete(spark, _root(spark, name))
 
 
@@ -110,8 +128,10 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     Another process may have replaced the table or added to it, so its newest version is looked up first.
     """
     _point(spark, name, _versions(spark, name)[-1])
-    spark.catalog.refreshTable(name)
-    return spark.read.table(name)
+    if name in RUN_TIMESTAMP:
+        spark.catalog.recoverPartitions(_in_catalog(name))
+    spark.catalog.refreshTable(_in_catalog(name))
+    return spark.read.table(_in_catalog(name))
 
 
 def _with_run_day(df: DataFrame, name: str) -> DataFrame:
@@ -158,15 +178,15 @@ def write_append(
     rows = _conform(df, name, by)
     _point(df.sparkSession, name, _versions(df.sparkSession, name)[-1])
     if mode == "append":
-        _with_run_day(rows, name).write.insertInto(name)
+        _with_run_day(rows, name).write.insertInto(_in_catalog(name))
     elif mode != "replace_run_date" or name not in RUN_TIMESTAMP:
         raise ValueError(f"cannot write {name} in mode {mode!r}")
     elif run_date is None:
         with _dynamic_overwrite(df.sparkSession):
-            _with_run_day(rows, name).write.insertInto(name, overwrite=True)
+            _with_run_day(rows, name).write.insertInto(_in_catalog(name), overwrite=True)
     else:
         df.sparkSession.sql(
-            f"INSERT OVERWRITE TABLE {name} PARTITION ({RUN_DAY} = DATE '{run_date}') "
+            f"INSERT OVERWRITE TABLE {_in_catalog(name)} PARTITION ({RUN_DAY} = DATE '{run_date}') "
             "SELECT * FROM {rows}",
             rows=rows,
         )
@@ -230,10 +250,15 @@ def scratch(spark: SparkSession):
         delete(spark, folder)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write an intermediate result to the shared folder and read it back."""
+def scratch_dir(spark: SparkSession) -> str:
+    """Where intermediate results go: the folder of the innermost ``scratch``, or the shared folder itself."""
+    return _scratch.get() or shared_dir(spark)
+
+
+def materialize(df: DataFrame, label: str, outlast: bool = False) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back; to ``outlast`` a ``scratch`` around it."""
     spark = df.sparkSession
-    path = f"{_scratch.get() or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark) if outlast else scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
