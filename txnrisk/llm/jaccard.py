@@ -345,21 +345,25 @@ def _labelled(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def node_roots(docs: DataFrame, text_col: str, nodes: DataFrame, like: Likeness) -> DataFrame:
     """``node`` and ``root`` of all nodes that are linked with another; ``nodes`` has ``node``, ``n_shingles``."""
-    clusters = stored(connected(_candidates(docs, text_col, like)), "clusters")
+    clusters = connected(_candidates(docs, text_col, like))
     sized = clusters.join(nodes, "node").select("node", F.col("root").alias("cluster"), "n_shingles")
+    sized = stored(sized, "clusters")
     split = F.greatest(
         F.ceil(F.count("*") / GROUP_NODES), F.ceil(F.sum("n_shingles") / GROUP_SHINGLES), F.lit(1)
     ).cast("int")
-    splits = sized.groupBy("cluster").agg(split.alias("splits"), F.sum("n_shingles").alias("shingles"))
-    splits = stored(splits, "cluster-sizes")
-    placed = sized.join(splits, "cluster").select(
-        "node", "cluster", "splits", F.pmod(F.xxhash64("node"), F.col("splits")).cast("int").alias("split")
+    sizes = sized.groupBy("cluster").agg(split.alias("splits"), F.sum("n_shingles").alias("shingles"))
+    sizes = stored(sizes, "cluster-sizes")
+    # Only clusters of several splits are looked up; there are few of them.
+    several = sizes.filter("splits > 1").select("cluster", "splits")
+    splits = F.coalesce("splits", F.lit(1))
+    placed = sized.join(several, "cluster", "left").select(
+        "node", "cluster", splits.alias("splits"), F.pmod(F.xxhash64("node"), splits).cast("int").alias("split")
     )
-    texts = _node_texts(docs, text_col, clusters.select("node"), like)
+    texts = _node_texts(docs, text_col, sized.select("node"), like)
     texts = texts.join(placed, "node").dropDuplicates(["node"])
     texts = stored(texts, "cluster-texts")
 
-    shingles, large = splits.agg(F.sum("shingles"), F.max("splits")).first()
+    shingles, large = sizes.agg(F.sum("shingles"), F.max("splits")).first()
     tasks = max(1, -(-(shingles or 0) // (GROUP_SHINGLES // 2)))
     task = F.pmod(F.xxhash64("cluster", "split"), F.lit(tasks))
     unit = F.struct("cluster", "split").cast("string")

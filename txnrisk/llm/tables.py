@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from txnrisk.sources.tables import shared_dir
+from txnrisk.sources.tables import discard, materialize
+
+__all__ = ["bound_batches", "discard", "read", "stored"]
 
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_DEFAULT = "67108864b"
@@ -20,12 +20,10 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage.
 
-    The folder is ``spark.checkpoint.dir``, so the copy outlives any executor.
+    The folder is in ``spark.checkpoint.dir``, so the copy outlives any executor. ``discard`` deletes it, and so
+    does the end of a ``scratch`` block around all of the work.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return materialize(df, label)
 
 
 def bound_batches(spark: SparkSession) -> None:
