@@ -1,5 +1,7 @@
 import random
 
+import pytest
+from pyspark.sql import functions as F
 from tests.llm import plain
 from txnrisk.llm import lines
 
@@ -34,11 +36,69 @@ def test_against_all_pairs(spark, small, odd_rows, monkeypatch):
     want = plain.near_lines(rows)
     assert run(spark, rows) == want
     assert len(want) < len(rows)
-    # A full bitmap of shared parts costs keys and changes nothing.
-    monkeypatch.setattr(lines, "_shared_parts", lambda parts: b"\xff" * (lines.SHARED_BITS // 8 + 4096))
+    # A full bitmap of shared halves costs keys and changes nothing.
+    monkeypatch.setattr(lines, "_shared_halves", lambda found: b"\xff" * (lines.LEAST_BITS // 8))
     assert run(spark, rows, 2) == want
 
 
+def test_equal_keys_are_no_proof(spark, small, monkeypatch):
+    """Where keys and hashes say little, lines are told by their words: no line goes that has no near one earlier."""
+    rows = edited_lines([(r.doc_id, r.text) for r in small.collect()], random.Random(9))
+    want = plain.near_lines(rows)
+    monkeypatch.setattr(lines, "_witnesses", lambda found, real=lines._witnesses: real(all_the_same(found)))
+    left = run(spark, rows)
+    for doc, text in want.items():
+        assert set((text or "").split("\n")) <= set((left[doc] or "").split("\n"))
+
+
+def all_the_same(found):
+    """As if a quarter of all keys were equal."""
+    return found.withColumn("key", F.when(F.col("key") % 4 == 0, F.lit(0)).otherwise(F.col("key")))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_one_edit(spark, seed):
+    rnd = random.Random(seed)
+    pairs = []
+    for _ in range(2000):
+        a = [rnd.choice("abc") for _ in range(rnd.randrange(1, 9))]
+        b = list(a)
+        for _ in range(rnd.randrange(3)):
+            i, change = rnd.randrange(len(b) + 1), rnd.randrange(3)
+            if change == 0:
+                b.insert(i, rnd.choice("abc"))
+            elif change == 1 and len(b) > 1:
+                del b[min(i, len(b) - 1)]
+            elif i < len(b):
+                b[i] = rnd.choice("abc")
+        pairs.append((" ".join(a), "\t ".join(b)))
+
+    def near(a, b):
+        if a == b:
+            return True
+        drops = [[x[:i] + x[i + 1 :] for i in range(len(x))] for x in (a, b)]
+        return a in drops[1] or b in drops[0] or (len(a) == len(b) and sum(x != y for x, y in zip(a, b)) == 1)
+
+    frame = spark.createDataFrame(pairs, "a string, b string").select("a", "b", lines._one_edit(F.col("a"), F.col("b")).alias("near"))
+    for row in frame.collect():
+        assert row.near == near(row.a.split(), row.b.split()), (row.a, row.b)
+
+
+def test_text_ids_and_null_ids(spark, small):
+    """Ids of any type are ordered as they are; null ids come last."""
+    a = "one two three four five six seven eight"
+    rows = [("b", a), (None, a + " nine"), ("a", a.replace("one", "1")), (None, "other line of five words")]
+    found = lines.drop_repeated_lines(spark.createDataFrame(rows, "doc_id string, text string"))
+    assert {(r.doc_id, r.text) for r in found.collect()} == {rows[2], rows[3]}
+
+
+def test_intermediate_tables_are_deleted(spark, small, tmp_path, monkeypatch):
+    folder = tmp_path / "shared"
+    monkeypatch.setattr("txnrisk.sources.tables.shared_dir", lambda _: str(folder))
+    lines.repeated_lines(small).count()
+    assert [p.name.split("-")[0] for p in folder.iterdir()] == ["gone"]
+
+
 def test_bound_and_order(spark):
     a = "one two three four five six seven eight"
     rows = [
