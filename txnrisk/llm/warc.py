@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.llm.tables import bound_batches, stored
-from txnrisk.sources.tables import shared_dir
+from txnrisk.sources.tables import scratch_dir
 
 LEAST_BYTES = 100
 ARCHIVE_BYTES = 256 << 20
@@ -171,7 +171,7 @@ def write_archives(
     """
     spark = pages.sparkSession
     bound_batches(spark)
-    folder = folder or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    folder = folder or f"{scratch_dir(spark)}/warc-{uuid.uuid4().hex}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = file_system(folder)
