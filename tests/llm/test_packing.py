@@ -83,3 +83,18 @@ def test_best_fit_is_the_tightest(seed):
         assert 0 <= offset <= 100 - length
         want.append(number)
     assert sorted(100 - n for n in used.values()) == sorted(free)
+
+
+def test_long_documents_are_not_one_group(spark, monkeypatch):
+    """Full windows are not packed, and the rests are dealt out by their own number."""
+    from txnrisk.llm import packing
+
+    monkeypatch.setattr(packing, "GROUP_PIECES", 10)
+    rows = [(i, "word " * 900) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    packed = pack_documents(docs, PATH, window=64, with_ids=True)
+    check(packed, rows, 64)
+    full = packed.filter("length = 64")
+    assert full.count() == 60 * (901 // 64) == full.select("sequence_id").distinct().count()
+    rests = packed.filter("length < 64").selectExpr("sequence_id >> 24 AS pack_group").distinct().count()
+    assert rests > 3

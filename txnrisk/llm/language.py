@@ -6,7 +6,8 @@ of at most ``CLASS_BLOCK`` rows by ``BUCKETS`` at a time, so its size is fixed.
 broadcasts one block of log probabilities after another, whatever the number of languages; each
 pass adds a block's scores to a running best and a running sum.
 
-Letters are lower-cased, and every run of other characters counts as one space.
+Letters are lower-cased, and every run of other characters counts as one space. A text of more than ``LONG_BLOCK`` bytes is
+worked on block by block, so it needs little more memory than itself.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and so is every text
 when there is nothing to learn from; rows with a null language or id teach nothing; repeated rows
@@ -16,6 +17,7 @@ are predicted alike; extra columns are ignored by fitting and scoring.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +34,9 @@ SAMPLE_PER_LANGUAGE = 20_000
 CLASS_BLOCK = 64
 UNDETERMINED = "und"
 SLICE = 1 << 20
+#: Bytes of a long text that are worked on at a time, and where a block may end.
+LONG_BLOCK = 1 << 20
+WORD_END = re.compile(rb"[\x09-\x0D\x20]")
 
 
 def _letters() -> np.ndarray:
@@ -42,40 +47,71 @@ def _letters() -> np.ndarray:
     return cache["letters"]
 
 
-def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket and document of every n-gram, and whether each document has a letter."""
-    data, offsets = buffers(texts)
-    raw = data.tobytes()
-    parts = [raw[a:b].decode().lower() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+def _normal(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of each text as a space, its letters with one space between words, and a space; with the text of each.
+
+    Also whether each text has a letter.
+    """
     codes = np.frombuffer("".join(parts).encode("utf-32-le"), "<u4")
-    bounds = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
-    document = np.repeat(np.arange(len(parts)), np.diff(bounds))
+    document = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     letter = _letters()[codes]
     has_letter = np.bincount(document[letter], minlength=len(parts)) > 0
-
-    # Each document reads as a space, its letters with one space between words, and a space.
     before = np.zeros(len(codes), bool)
     before[1:] = letter[:-1] & (document[1:] == document[:-1])
     keep = letter | before
-    codes = np.where(letter, codes, 32)[keep].astype(np.uint64)
+    codes = np.where(letter, codes, 32)[keep]
     document = document[keep]
     heads = np.flatnonzero(np.diff(document, prepend=-1))
-    codes, document = np.insert(codes, heads, 32), np.insert(document, heads, document[heads])
+    return np.insert(codes, heads, 32), np.insert(document, heads, document[heads]), has_letter
 
-    buckets, owners = [], []
+
+def _hashed(codes: np.ndarray, first: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Of each order the buckets of the n-grams that begin among the first codes."""
     value = np.zeros(len(codes), np.uint64)
     for order in range(1, max(ORDERS) + 1):
-        value = value[: len(codes) - order + 1] * np.uint64(0x100000001B3) + codes[order - 1 :]
-        if order not in ORDERS:
-            continue
-        inside = document[: len(value)] == document[order - 1 :]
-        mixed = (value + np.uint64(order)) * np.uint64(0x9E3779B97F4A7C15)
-        bucket = (mixed >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+        value = value[: max(0, len(codes) - order + 1)] * np.uint64(0x100000001B3) + codes[order - 1 :].astype(np.uint64)
+        if order in ORDERS:
+            mixed = (value[:first] + np.uint64(order)) * np.uint64(0x9E3779B97F4A7C15)
+            yield order, (mixed >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+
+
+def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket and document of every n-gram, and whether each document has a letter."""
+    data, offsets = buffers(texts)
+    raw = data.tobytes()
+    parts = [raw[a:b].decode().lower() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    codes, document, has_letter = _normal(parts)
+    buckets, owners = [], []
+    for order, bucket in _hashed(codes, len(codes)):
+        inside = document[: len(bucket)] == document[order - 1 :]
         buckets.append(bucket[inside])
-        owners.append(document[: len(value)][inside])
+        owners.append(document[: len(bucket)][inside])
     return np.concatenate(buckets), np.concatenate(owners), has_letter
 
 
+def long_grams(text: bytes) -> Iterator[np.ndarray]:
+    """The buckets of all n-grams of one long text, a block of it at a time; nothing if it has no letter.
+
+    Blocks end behind white space, so no word is cut, and each begins with the last codes of the one before.
+    """
+    tail, at, reach = np.zeros(0, np.uint32), 0, max(ORDERS) - 1
+    while at < len(text):
+        end = min(len(text), at + LONG_BLOCK)
+        if end < len(text):
+            found = WORD_END.search(text, end)
+            end = found.end() if found else len(text)
+        codes = _normal([text[at:end].decode().lower()])[0].astype(np.uint32)
+        at = end
+        if len(tail) and len(codes) and tail[-1] == 32:
+            codes = codes[1:]  # the space that begins the block is the one that ended the last
+        codes = np.concatenate((tail, codes))
+        # N-grams that reach into the next block are left to it.
+        first = len(codes) if at == len(text) else max(0, len(codes) - reach)
+        for _, bucket in _hashed(codes, first):
+            yield bucket
+        tail = codes[first:]
+
+
 def sample(docs: DataFrame, lang_col: str, id_col: str, per_language: int) -> DataFrame:
     """About ``per_language`` rows of each language, chosen by a hash of the id."""
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
@@ -95,6 +131,13 @@ def count_grams(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             for part in slices(batch, text_col, SLICE):
                 labels, codes = np.unique(np.array(part.column(lang_col).to_pylist(), object), return_inverse=True)
+                if (long := _long_text(part, text_col)) is not None:
+                    found = np.zeros(BUCKETS + 1, np.int64)
+                    for bucket in long_grams(long):
+                        found[1:] += np.bincount(bucket, minlength=BUCKETS)
+                    found[0] = 1
+                    totals[labels[0]] = totals.get(labels[0], 0) + found
+                    continue
                 bucket, owner, _ = grams(part.column(text_col))
                 for i, label in enumerate(labels):
                     found = np.bincount(bucket[codes[owner] == i] + 1, minlength=BUCKETS + 1)
@@ -186,16 +229,31 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
     )
 
 
+def _long_text(part: pa.RecordBatch, text_col: str) -> bytes | None:
+    """The text of a batch that is one long text."""
+    if part.num_rows != 1 or not part.column(text_col)[0].is_valid:
+        return None
+    text = part.column(text_col)[0].as_buffer()
+    return text.to_pybytes() if text.size > LONG_BLOCK else None
+
+
 def _scorer(shared, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, prior, matrix = shared.value
         labels = np.array(names, object)
         for batch in batches:
             for part in slices(batch, text_col, SLICE):
-                bucket, owner, has_letter = grams(part.column(text_col))
                 scores = np.empty((len(labels), part.num_rows))
-                for i in range(len(labels)):
-                    scores[i] = np.bincount(owner, matrix[i][bucket], part.num_rows) + prior[i]
+                if (long := _long_text(part, text_col)) is not None:
+                    scores[:, 0], has_letter = prior, np.zeros(1, bool)
+                    for bucket in long_grams(long):
+                        counts = np.bincount(bucket, minlength=BUCKETS)
+                        scores[:, 0] += matrix @ counts.astype(np.float64)
+                        has_letter |= len(bucket) > 0
+                else:
+                    bucket, owner, has_letter = grams(part.column(text_col))
+                    for i in range(len(labels)):
+                        scores[i] = np.bincount(owner, matrix[i][bucket], part.num_rows) + prior[i]
                 old = {name: part.column(name) for name in part.schema.names}
                 best = old["best_log"].to_numpy(zero_copy_only=False)
                 total = old["sum_log"].to_numpy(zero_copy_only=False)

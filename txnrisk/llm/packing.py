@@ -1,9 +1,9 @@
 """Packing token sequences into windows by best-fit decreasing.
 
 Each document is tokenized where its row lies. Documents longer than a window are cut into full
-windows, which fill a sequence each, and a rest. Pieces are dealt to packing groups by row
-position, so a group holds those of about ``GROUP_DOCUMENTS`` documents whatever the keys, and only
-piece lengths are shuffled unless token ids are asked for.
+windows, which are a sequence each and need no packing, and a rest of at most one piece. Pieces are stored, and the rests
+are dealt to packing groups by row position, so a group holds about ``GROUP_PIECES`` of them whatever the keys or
+the length of the documents. Only piece lengths are stored and shuffled unless token ids are asked for.
 
 Inside a group pieces are taken by falling length, and each goes to the open window with the
 smallest sufficient space, found in a segment tree over remaining capacity.
@@ -25,12 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnrisk.llm.tables import bound_batches
+from txnrisk.llm.tables import bound_batches, stored
 from txnrisk.llm.words import LOWER, Spans, buffers, slices, word_bounds, worker_cache
 
 WINDOW = 4096
 END_ID = 2
-GROUP_DOCUMENTS = 2000
+GROUP_PIECES = 2000
+#: The first sequence number of those that one full window makes up.
+FULL_WINDOWS = 1 << 62
 #: Words remembered by a worker with their ids; the memory starts anew beyond this many.
 REMEMBERED_WORDS = 1_500_000
 
@@ -223,10 +225,15 @@ def best_fit_decreasing(lengths: list[int], window: int = WINDOW) -> list[tuple[
     return placed
 
 
-def pack(pieces: DataFrame, groups: int, window: int = WINDOW) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to the rows of ``cut_documents``."""
+def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Add ``sequence_id`` and ``offset`` to the rows of ``cut_documents``, which are read several times.
+
+    Full windows are numbered from ``FULL_WINDOWS`` on.
+    """
     columns = [c for c in pieces.columns if c != "piece_key"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema if f.name in columns)
+    full, rests = pieces.filter(F.col("length") == window), pieces.filter(F.col("length") < window)
+    groups = max(1, -(-rests.count() // GROUP_PIECES))
     group = F.pmod(F.xxhash64("piece_key"), F.lit(groups))
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -237,8 +244,10 @@ def pack(pieces: DataFrame, groups: int, window: int = WINDOW) -> DataFrame:
         rows["offset"] = np.array([offset for _, offset in placed], np.int64)
         return rows[[*columns, "sequence_id", "offset"]]
 
-    grouped = pieces.withColumn("pack_group", group).groupBy("pack_group")
-    return grouped.applyInPandas(run, f"{schema}, sequence_id long, offset long")
+    grouped = rests.withColumn("pack_group", group).groupBy("pack_group")
+    packed = grouped.applyInPandas(run, f"{schema}, sequence_id long, offset long")
+    alone = (F.lit(FULL_WINDOWS) + F.col("piece_key")).alias("sequence_id")
+    return packed.unionByName(full.select(*columns, alone, F.lit(0).cast("long").alias("offset")))
 
 
 def pack_documents(
@@ -254,9 +263,8 @@ def pack_documents(
 
     With ``with_ids`` the pieces carry their ids, so ``sequences`` can put them together.
     """
-    groups = max(1, -(-docs.count() // GROUP_DOCUMENTS))
     pieces = cut_documents(docs, tokenizer_path, id_col, text_col, window, end_id, with_ids)
-    return pack(pieces, groups, window)
+    return pack(stored(pieces, "pieces"), window)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

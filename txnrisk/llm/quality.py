@@ -61,9 +61,11 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     """The columns of ``MEASURES`` for a batch of texts."""
     data, offsets = buffers(texts)
     starts, ends, bounds = word_bounds(data, offsets)
+    points = np.zeros(len(data) + 1, np.int32 if len(data) < 1 << 31 else np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=points[1:])
+    chars = (points[ends] - points[starts]).astype(np.int64)
+    del points
     spans = Spans(data)
-    points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
-    chars = points[ends] - points[starts]
     hashes = spans.hash(starts, ends)
     document = owners(bounds)
 
@@ -71,7 +73,7 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     word_chars = _per_document(chars, bounds)
     symbols = np.zeros(256, bool)
     symbols[list(SYMBOLS)] = True
-    n_symbols = _per_document(symbols[data], offsets)
+    n_symbols = np.diff(np.searchsorted(np.flatnonzero(symbols[data]), offsets))
 
     # A line ends at a line feed or with its document; only lines with a word count.
     feeds = np.flatnonzero(data == 10)
@@ -84,6 +86,7 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     has_word = first_word < np.searchsorted(starts, tails)
     heads, tails, line_document = heads[has_word], tails[has_word], line_document[has_word]
     line_hash = mix(spans.hash(heads, tails) + line_document.astype(np.uint64) * STEP)
+    del spans  # eight bytes for each of the text
     _, first_seen = np.unique(line_hash, return_index=True)
     again = np.ones(len(line_hash), bool)
     again[first_seen] = False

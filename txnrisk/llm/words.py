@@ -82,15 +82,36 @@ def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Spans:
-    """Hashes of byte ranges of one buffer."""
+    """Hashes of byte ranges of one buffer.
+
+    Running sums are taken block by block, so a long buffer needs eight bytes for each of its own and little more.
+    """
 
     def __init__(self, data: np.ndarray):
-        table, self._inverse = powers(len(data) + 1)
+        table, self._inverse = powers(min(len(data), SLICE_BYTES) + 1)
         self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * table[: len(data)], out=self._sums[1:])
+        scale = 1
+        for start in range(0, len(data), SLICE_BYTES):
+            block = data[start : start + SLICE_BYTES].astype(np.uint64)
+            block += np.uint64(1)
+            block *= table[: len(block)]
+            if start:
+                scale = scale * int(table[SLICE_BYTES]) % (1 << 64)
+                block *= np.uint64(scale)
+            sums = self._sums[start + 1 : start + 1 + len(block)]
+            np.cumsum(block, out=sums)
+            sums += self._sums[start]
+
+    def _undone(self, starts: np.ndarray) -> np.ndarray:
+        """The inverse powers of the places."""
+        if len(self._sums) <= SLICE_BYTES + 1:
+            return self._inverse[starts]
+        steps = np.full(len(self._sums) // SLICE_BYTES + 1, self._inverse[SLICE_BYTES], np.uint64)
+        steps[0] = 1
+        return self._inverse[starts % SLICE_BYTES] * np.cumprod(steps)[starts // SLICE_BYTES]
 
     def hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self._sums[ends] - self._sums[starts]) * self._inverse[starts])
+        return mix((self._sums[ends] - self._sums[starts]) * self._undone(starts))
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
