@@ -100,7 +100,7 @@ def test_ordered_steps_of_the_threshold_are_small(spark, monkeypatch):
     frame = spark.createDataFrame([(v,) for v in values], "amount double")
     for q in (0.1, 0.5, 0.9):
         assert quantiles.exact_quantile(frame, "amount", q).first().threshold == values[int(q * len(values)) - 1]
-    assert len(sizes) > 6 and max(sizes) <= 4096
+    assert len(sizes) > 6 and max(sizes) <= quantiles.CUTS + 1
 
 
 def test_threshold_is_a_value_in_the_plans_that_use_it(spark):

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnrisk.functions.exact import DIGITS, order_digits
+from txnrisk.functions.exact import order_digits
 from txnrisk.values import (
     DECISION_THRESHOLD,
     DEFAULT_SPLIT_STEP,
@@ -16,6 +16,9 @@ from txnrisk.values import (
     RUN_STATUS,
 )
 
+#: Ranges per binade and cells per range, as powers of two.
+RANGE_BITS = (9, 12)
+
 METRICS = ("precision", "recall", "f1_score", "roc_auc", "log_loss")
 
 
@@ -25,38 +28,43 @@ def evaluate_classifier(
     """Precision, recall and F1 of the fraud class, ROC AUC and log loss, per ``by`` group.
 
     Rows are first counted per score, so no score is too frequent for one task. The AUC counts,
-    for each fraud row, the other rows with a lower score, and half of those with the same. A score is
-    three digits in order: pairs that differ in the last one are counted first, then those that
-    differ in the one before, so an ordered sum sees the values of one digit and never all scores.
-    A ratio with an empty denominator is null.
+    for each fraud row, the other rows with a lower score, and half of those with the same. A prefix count: scores are
+    put in order inside fine cells, the sums of cells inside ranges, and the sums of ranges by group, so an
+    ordered sum sees one cell, one range or the ranges, and never all scores. A ratio with an empty denominator is null.
     """
     label = F.col(LABEL).cast("double")
     flagged = F.col("predicted_isFraud") == 1
-    p = F.least(F.greatest(F.col("probability"), F.lit(clamp)), F.lit(1.0 - clamp))
-    loss = -F.ln(F.when(F.col(LABEL) == 1, p).otherwise(F.lit(1.0) - p))
     counted = (
         scored.where(F.col(LABEL).isNotNull() & F.col("probability").isNotNull())
-        .groupBy(*by, *order_digits(F.col("probability")))
+        .groupBy(*by, "probability")
         .agg(
-            F.count("*").cast("double").alias("n"),
             F.sum(label).alias("pos"),
             F.sum(1.0 - label).alias("neg"),
             F.count_if(flagged & (F.col(LABEL) == 1)).cast("double").alias("hit"),
             F.count_if(flagged).cast("double").alias("flagged"),
-            F.sum(loss).alias("loss"),
         )
-        .withColumn("pairs_won", F.col("pos") * F.col("neg") / 2)
+    )
+    # Everything else is a matter of the score, so it is worked out once for each.
+    p = F.least(F.greatest(F.col("probability"), F.lit(clamp)), F.lit(1.0 - clamp))
+    loss = -(F.col("pos") * F.ln(p) + F.col("neg") * F.ln(F.lit(1.0) - p))
+    coarse, fine = order_digits(F.col("probability"), RANGE_BITS)
+    counted = counted.select(
+        *by,
+        "probability",
+        coarse.alias("range"),
+        fine.alias("cell"),
+        (F.col("pos") + F.col("neg")).alias("n"),
+        *("pos", "neg", "hit", "flagged"),
+        loss.alias("loss"),
+        (F.col("pos") * F.col("neg") / 2).alias("pairs_won"),
     )
     totals = ("n", "pos", "neg", "hit", "flagged", "loss", "pairs_won")
-    for depth in reversed(range(len(DIGITS))):
-        around = [*by, *DIGITS[:depth]]
-        lower = (
-            Window.partitionBy(*around).orderBy(DIGITS[depth]).rowsBetween(Window.unboundedPreceding, -1)
-        )
+    for around, order in ((("range", "cell"), "probability"), (("range",), "cell"), ((), "range")):
+        lower = Window.partitionBy(*by, *around).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         beaten = F.coalesce(F.sum("neg").over(lower), F.lit(0.0))
         counted = (
             counted.withColumn("pairs_won", F.col("pairs_won") + F.col("pos") * beaten)
-            .groupBy(*around)
+            .groupBy(*by, *around)
             .agg(*[F.sum(c).alias(c) for c in totals])
         )
     hit, pos = F.col("hit"), F.col("pos")

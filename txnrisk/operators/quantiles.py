@@ -7,11 +7,12 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnrisk.functions.exact import digit_names, order_digits
+from txnrisk.functions.exact import order_digits
 from txnrisk.sources.tables import materialize
 
-#: Bits of each digit of a double: the first takes 64 values a binade, the others 4096 or 2048.
-CELL_BITS = (6, 12, 12, 12, 11)
+#: Ranges per binade, as a power of two, and ranges that one of them is cut into where it has too many values.
+RANGE_BITS = 6
+CUTS = 4096
 #: Distinct values that one task may put in order.
 CELL_VALUES = 4096
 
@@ -29,22 +30,25 @@ def exact_quantile(df: DataFrame, column: str, q: float, name: str = "threshold"
     """
     value = F.col(column).cast("double")
     counted = df.where(value.isNotNull()).groupBy(value.alias("value")).agg(F.count("*").alias("n"))
-    digits = digit_names(CELL_BITS)
-    inside = materialize(counted.select("*", *order_digits(F.col("value"), CELL_BITS)), "value-counts")
+    inside = materialize(counted, "value-counts")
     # Decimal, so that seven hundredths of a hundred rows are seven rows and not eight.
     rank = F.ceil(F.lit(Decimal(str(q))) * F.sum("n").over(Window.partitionBy())).cast("bigint")
-    found = None
-    for digit in digits:
-        ranges = inside.groupBy(digit).agg(F.sum("n").alias("n"), F.count("*").alias("values"))
-        hit = _at_rank(ranges, digit, rank)
+    found, cell = None, order_digits(F.col("value"), (RANGE_BITS,))[0]
+    while True:
+        ranges = inside.groupBy(cell.alias("cell")).agg(
+            F.sum("n").alias("n"), F.count("*").alias("values"), F.min("value").alias("low"), F.max("value").alias("high")
+        )
+        hit = _at_rank(ranges, "cell", rank)
         if hit is None:
             break
-        inside = inside.where(F.col(digit) == hit[digit])
+        low, high = hit["low"], hit["high"]
+        inside = inside.where(F.col("value").between(low, high))
         rank = F.lit(hit["rank"] - hit["upto"] + hit["n"])
         if hit["values"] <= CELL_VALUES:
+            found = _at_rank(inside, "value", rank)["value"]
             break
-    if hit is not None:
-        found = _at_rank(inside.select("value", "n"), "value", rank)["value"]
+        # The difference, the quotient and the product grow with the value, so the cells are in its order.
+        cell = F.floor((F.col("value") - low) / F.lit(high - low) * CUTS)
     return df.sparkSession.createDataFrame([(found,)], f"{name} double")
 
 
