@@ -325,6 +325,8 @@ ATTRIBUTIONS = """
 MODELS = {
     "train_logistic": f"""SELECT unnest({["__INTERCEPT__", *FEATURE_NAMES]}) AS feature,
         (SELECT count(*) FROM features WHERE step <= 600) AS rows, true AS optimal""",
+    "train_boosted_tree": """SELECT 'fraud_boosted_tree' AS model_name, count(*) AS rows, true AS settled
+        FROM features WHERE step <= 600""",
     "train_kmeans": """SELECT 'fraud_kmeans_anomaly' AS model_name, 8::BIGINT AS clusters, count(*) AS rows,
         true AS settled FROM features WHERE step <= 600""",
     "predict": "\nUNION ALL\n".join(

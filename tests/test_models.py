@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import MEDIUM
 from txnrisk.operators import models
-from txnrisk.operators.certificates import lloyd_step, logistic_gradient
+from txnrisk.operators.certificates import boosting_step, lloyd_step, logistic_gradient
 from txnrisk.operators.evaluation import evaluate_classifier
 from txnrisk.operators.explain import shift
 from txnrisk.operators.model_rows import LINEAR, ModelRows, Weight, model_rows
@@ -199,6 +199,16 @@ def test_certificates_tell_optimal_from_other_models(splits, fitted):
     assert max(row.shift for row in lloyd_step(models.train_kmeans(splits[0], iterations=1), splits[0]).collect()) > 1e-4
 
 
+def test_leaves_of_boosted_trees_are_the_means_of_their_rows(splits, fitted):
+    leaves = boosting_step(fitted["boosted"], splits[0]).collect()
+    assert len({row.tree for row in leaves}) == len(fitted["boosted"].stages[-1].treeWeights) > 1
+    assert max(row.gap for row in leaves) < 1e-9 and min(row.rows for row in leaves) > 0
+    other = models.train_boosted_tree(splits[0].where("step % 2 = 0"), rounds=3)
+    assert max(row.gap for row in boosting_step(other, splits[0]).collect()) > 1e-3
+    whole = models.train_boosted_tree(splits[0], rounds=2, holdout_share=0.0)
+    assert max(row.gap for row in boosting_step(whole, splits[0], 0.0).collect()) < 1e-9
+
+
 def test_auto_weights_give_both_classes_the_same_total(splits):
     totals = (
         models.class_weights(splits[0]).groupBy("isFraud").agg(F.sum("class_weight").alias("w")).collect()

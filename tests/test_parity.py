@@ -12,7 +12,7 @@ QUERIES = all_queries()
 WITHOUT_ORACLE = {
     "large_amount_threshold_approx",
     "train_logistic_evaluated",
-    "train_boosted_tree",
+    "train_boosted_tree_evaluated",
     "train_random_forest",
     "train_kmeans_clusters",
     "predict_trained",

@@ -120,7 +120,8 @@ def test_auc_orders_scores_not_rows(spark):
     tables = RunTables(spark, SMALL)
     text = plan(evaluation.evaluate_classifier(tables.scored))
     below_ordered_sums = text.rsplit("Window [sum(neg", 1)[1]
-    assert "partial_count(1)" in below_ordered_sums.split("WindowGroupLimit")[0]
+    assert "partial_sum(" in below_ordered_sums.split("WindowGroupLimit")[0]
+    assert text.count("Window [sum(neg") == 3
 
 
 def test_carried_predictions_need_no_join(stored):

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.operators.model_rows import INTERCEPT, model_rows
-from txnrisk.operators.models import WEIGHT, class_weights
+from txnrisk.operators.models import VALIDATION, WEIGHT, class_weights, hold_out
+from txnrisk.sources.tables import materialize
 from txnrisk.values import CLASS_WEIGHTS, CLASSIFIER_FEATURES, CLUSTER_FEATURES, LABEL
 
 
@@ -28,7 +29,7 @@ def logistic_gradient(
     rows = rows.withColumn("probability", fitted.probability()).withColumn("residual", residual)
     found = []
     for name in (INTERCEPT, *CLASSIFIER_FEATURES):
-        value = F.lit(1.0) if name == INTERCEPT else fitted._value(name)
+        value = F.lit(1.0) if name == INTERCEPT else fitted.value(name)
         slope = F.try_divide(F.sum(F.col("residual") * value), F.sum(F.col(WEIGHT) * F.abs(value)))
         found.append(F.struct(F.lit(name).alias("feature"), F.coalesce(slope, F.lit(0.0)).alias("gradient")))
     return rows.agg(F.count("*").alias("rows"), F.array(*found).alias("found")).select("rows", F.inline("found"))
@@ -48,3 +49,36 @@ def lloyd_step(model: PipelineModel, train: DataFrame) -> DataFrame:
     center = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])[F.col("cluster")]
     gaps = F.array(*[F.abs(F.col(name) - center[i]) for i, name in enumerate(names)])
     return means.select((F.col("cluster") + 1).cast("bigint").alias("centroid_id"), "rows", F.array_max(gaps).alias("shift"))
+
+
+def boosting_step(model: PipelineModel, train: DataFrame, holdout_share: float = 0.2) -> DataFrame:
+    """``tree``, ``node``, ``rows`` and ``gap`` of every leaf of boosted trees: how far its value is from the one it must have.
+
+    A leaf of the first tree holds the weighted mean of its rows' labels, as 1 and -1; one of a later tree that of
+    what the trees before leave of them, the slope of the log loss at their sum. Only rows that were not held out count.
+    """
+    fitted = model_rows(model)
+    rates = model.stages[-1].treeWeights
+    rows = hold_out(class_weights(train.where(F.col(LABEL).isNotNull())), holdout_share)
+    held_out = F.col(VALIDATION)
+    if not (rows.where(held_out).isEmpty() or rows.where(~held_out).isEmpty()):
+        rows = rows.where(~held_out)
+    label = F.when(F.col(LABEL) == 1, 1.0).otherwise(-1.0).alias("label")
+    values = [value.alias(f"value_{t}") for t, value in enumerate(fitted.trees())]
+    leaves = [leaf.alias(f"leaf_{t}") for t, leaf in enumerate(fitted.trees("node"))]
+    rows = materialize(rows.select(label, F.col(WEIGHT).alias("weight"), *values, *leaves), "boosted-rows")
+
+    steps, total = [], F.lit(0.0)
+    for t in range(len(rates)):
+        rest = F.col("label") if t == 0 else 4.0 * F.col("label") / (1.0 + F.exp(2.0 * F.col("label") * total))
+        steps.append(F.struct(F.lit(t).alias("tree"), F.col(f"leaf_{t}").alias("node"), rest.alias("rest")))
+        total = total + F.col(f"value_{t}")
+    means = (
+        rows.select("weight", F.inline(F.array(*steps)))
+        .groupBy("tree", "node")
+        .agg(F.count("*").alias("rows"), (F.sum(F.col("weight") * F.col("rest")) / F.sum("weight")).alias("mean"))
+    )
+    held = fitted.frame(train.sparkSession).where("feature IS NULL")
+    rate = F.array(*[F.lit(float(r)) for r in rates])[F.col("tree")]
+    gap = F.abs(F.col("value") / rate - F.coalesce("mean", F.lit(float("inf"))))
+    return held.join(means, ["tree", "node"], "left").select("tree", "node", F.coalesce("rows", F.lit(0)).alias("rows"), gap.alias("gap"))

@@ -63,13 +63,15 @@ class ModelRows:
         schema = "feature string, weight double" if self.kind == LINEAR else NODE_SCHEMA
         return spark.createDataFrame([tuple(row) for row in self.rows], schema)
 
-    def _value(self, feature: str) -> Column:
+    def value(self, feature: str) -> Column:
+        """A feature as the model sees it."""
         column = F.col(feature).cast("double")
         if feature not in self.fills:
             return column
         return F.when(column.isNull() | F.isnan(column), F.lit(float(self.fills[feature]))).otherwise(column)
 
-    def _trees(self) -> list[Column]:
+    def trees(self, of_leaf: str = "value") -> list[Column]:
+        """For each tree the value of the leaf that a row falls into, or its number, as ``node``."""
         by_tree: dict[int, dict[int, Node]] = {}
         for row in self.rows:
             by_tree.setdefault(row.tree, {})[row.node] = row
@@ -77,9 +79,9 @@ class ModelRows:
         def walk(nodes: dict[int, Node], number: int) -> Column:
             node = nodes[number]
             if node.feature is None:
-                return F.lit(float(node.value))
+                return F.lit(node.node) if of_leaf == "node" else F.lit(float(node.value))
             left, right = walk(nodes, node.left), walk(nodes, node.right)
-            return F.when(self._value(node.feature) <= F.lit(float(node.threshold)), left).otherwise(right)
+            return F.when(self.value(node.feature) <= F.lit(float(node.threshold)), left).otherwise(right)
 
         return [walk(by_tree[tree], 0) for tree in sorted(by_tree)]
 
@@ -87,11 +89,11 @@ class ModelRows:
         """The weighted sum, or the sum of the leaves that a row falls into, in the order of the rows."""
         if self.kind == LINEAR:
             terms = [
-                F.lit(float(weight)) if feature == INTERCEPT else F.lit(float(weight)) * self._value(feature)
+                F.lit(float(weight)) if feature == INTERCEPT else F.lit(float(weight)) * self.value(feature)
                 for feature, weight in self.rows
             ]
         else:
-            terms = self._trees()
+            terms = self.trees()
         total = F.lit(0.0)
         for term in terms:
             total = total + term

@@ -17,7 +17,7 @@ from txnrisk.functions import scoring as score
 from txnrisk.functions.features import feature_columns
 from txnrisk.operators import cleaning, dashboards, evaluation, models, quality, scoring
 from txnrisk.operators.features import large_amount_threshold, threshold_column
-from txnrisk.operators.certificates import lloyd_step, logistic_gradient
+from txnrisk.operators.certificates import boosting_step, lloyd_step, logistic_gradient
 from txnrisk.plans.tables import AS_OF, LOG_LOSS_CLAMP, RunTables, fixed_models, run_ts
 from txnrisk.plans.trial_tables import TRIALS
 from txnrisk.sources.tables import materialize, shared_dir
@@ -93,7 +93,8 @@ MODELS: dict[str, Query] = {
     "class_weights": lambda t: _class_weights(t),
     "train_logistic": lambda t: _optimality(t),
     "train_logistic_evaluated": lambda t: _trained(t, LOGISTIC, models.train_logistic),
-    "train_boosted_tree": lambda t: _trained(t, BOOSTED_TREE, models.train_boosted_tree),
+    "train_boosted_tree": lambda t: _boosted(t),
+    "train_boosted_tree_evaluated": lambda t: _trained(t, BOOSTED_TREE, models.train_boosted_tree),
     "train_random_forest": lambda t: _trained(t, RANDOM_FOREST, models.train_random_forest),
     "train_kmeans": lambda t: _fixed_point(t),
     "train_kmeans_clusters": lambda t: _clusters(t),
@@ -320,6 +321,14 @@ def _optimality(t: RunTables) -> DataFrame:
     return gradient.select("feature", "rows", (F.abs("gradient") < FLAT).alias("optimal"))
 
 
+def _boosted(t: RunTables) -> DataFrame:
+    """Whether every leaf of the boosted trees, fitted on the training side, is the mean it must be."""
+    training, _ = _stored_splits(t)
+    leaves = boosting_step(models.train_boosted_tree(training), training)
+    settled = leaves.agg((F.max("gap") < FLAT).alias("settled")).scalar()
+    return training.agg(F.count("*").alias("rows")).select(F.lit(BOOSTED_TREE).alias("model_name"), "rows", settled.alias("settled"))
+
+
 def _fixed_point(t: RunTables) -> DataFrame:
     """Whether the centres of k-means, fitted on the training side, are the means of their rows."""
     training, _ = _stored_splits(t)
