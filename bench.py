@@ -50,7 +50,13 @@ HEADLINE = (
     "model_comparison",
     "fraud_rate_heatmap",
 )
-TRAINING = ("train_logistic", "train_random_forest", "train_boosted_tree", "train_kmeans")
+# Training and what was timed under these names from the start: the evaluation of the fitted model.
+TRAINING = {
+    "train_logistic": "train_logistic_evaluated",
+    "train_random_forest": "train_random_forest",
+    "train_boosted_tree": "train_boosted_tree_evaluated",
+    "train_kmeans": "train_kmeans_clusters",
+}
 # Dashboard queries over the tables that the jobs have written.
 REPORTS = {
     "risk_distribution": (dashboards.risk_distribution, "reports.fraud_predictions"),
@@ -139,7 +145,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     times = best_of(HEADLINE, spark, folder, runs)
     trainers = all_queries()
-    times.update({name: round(seconds(trainers[name], spark, folder), 3) for name in TRAINING})
+    times.update({name: round(seconds(trainers[query], spark, folder), 3) for name, query in TRAINING.items()})
     result = {
         "metric": "total wall time of the headline queries",
         "value": round(sum(times.values()), 3),
