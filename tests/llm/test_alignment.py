@@ -110,6 +110,42 @@ def test_against_token_by_token(spark, small, shard_pairs):
     assert rows_of(align_documents(frame, A, B, shard_pairs=shard_pairs)) == Counter(plain(docs))
 
 
+@pytest.mark.parametrize("shard_pairs", [alignment.SHARD_PAIRS, 500])
+def test_long_texts_in_blocks(spark, small, monkeypatch, shard_pairs):
+    """Blocks, and memories that start anew between them, change nothing."""
+    docs = [(row.doc_id, row.text) for row in small.collect()][:60]
+    docs += [(1000 + i, text) for i, text in enumerate(TOUGH + ["tail 　\n", "a " * 400 + "▁", "word " * 300])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    for name, value in (("LONG_BLOCK", 50), ("REMEMBERED_CUTS", 30), ("REMEMBERED_PAIRS", 90)):
+        monkeypatch.setattr(alignment, name, value)
+    monkeypatch.setattr(alignment, "slices", lambda batch, column: (batch.slice(i, 1) for i in range(batch.num_rows)))
+    assert rows_of(align_documents(frame, A, B, shard_pairs=shard_pairs)) == Counter(plain(docs))
+
+
+def test_blocks_of_a_long_text(monkeypatch):
+    """The counts and digest of a text do not depend on where its blocks end, nor on what is remembered."""
+    texts = [t for t in ODD + TOUGH if t and len(t) < 50_000] + ["tail 　\n", "a " * 400 + "▁", "word w" * 300]
+    for text in texts:
+        data = np.frombuffer(text.encode(), np.uint8)
+        whole = alignment.Aligner(A, B)
+        keys = alignment._long_pairs(whole, data)
+        hashed = PerfectHash.of(keys)
+        ordered = np.zeros(len(keys), np.int64)
+        ordered[hashed.number(keys)] = keys
+        counts = ordered % 7 + 1
+        table = alignment.PairTable(hashed.pack(), ordered.tobytes(), counts.tobytes())
+        highest = np.zeros(60_000, np.int64)
+        np.maximum.at(highest, ordered // whole.width, counts)
+        expected = alignment._long_result(whole, data, table, highest)
+        with monkeypatch.context() as patch:
+            for name, value in (("LONG_BLOCK", 40), ("REMEMBERED_CUTS", 5), ("REMEMBERED_PAIRS", 9)):
+                patch.setattr(alignment, name, value)
+            pieces = alignment.Aligner(A, B)
+            assert (alignment._long_pairs(pieces, data) == keys).all()
+            assert alignment._long_result(pieces, data, table, highest) == expected
+            assert len(list(pieces.blocks(data))) >= min(2, len(text) // 400)
+
+
 def test_random_texts(spark):
     rnd = random.Random(3)
     letters = list("abcé漢😀'<|>0 7.,") + [" "] * 12 + ["\n", "\t", " ", "　", "▁", " ", "\x85", "\x1f", "the", "tion"]

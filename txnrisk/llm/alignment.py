@@ -16,7 +16,8 @@ A shard holds at most some ``SHARD_PAIRS`` keys and counts of 8 bytes each whate
 broadcast; a corpus with more pairs takes more shards, and a lookup pass for each.
 
 Both tokenizers cut at a single space between visible characters, whatever stands around it. So texts are cut
-there, and a worker encodes and aligns each distinct cut once, as long as it remembers it.
+there, and a worker encodes and aligns each distinct cut once, as long as it remembers it. A text of more than
+``LONG_BLOCK`` bytes is worked on block by block; only a cut, a run without such a space, is always held whole.
 
 Defined results: null and empty texts, and those whose tokens do not give back the bytes of space + text, have
 no tokens: all counts 0 and an empty digest. Repeated rows and ids count as documents of their own; extra columns
@@ -47,6 +48,8 @@ FAN_IN = 32
 REMEMBERED_CUTS = 600_000
 REMEMBERED_PAIRS = 4_000_000
 HELD_BYTES = 16 << 20
+#: Bytes of one long text that are worked on at a time.
+LONG_BLOCK = 1 << 20
 #: Bytes of new cuts that are put together for one call of a tokenizer.
 CALL_BYTES = 1 << 14
 GAMMA = 2.0
@@ -300,11 +303,25 @@ class Aligner:
 
     def numbers(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The remembered cuts of all texts in a row, and the number of the first one of each text and one more."""
+        data, starts, first, joinable = cut_at_spaces(data, offsets)
+        return self._remembered(data, starts, joinable), first
+
+    def blocks(self, data: np.ndarray) -> Iterator[np.ndarray]:
+        """The remembered cuts of one long text, about ``LONG_BLOCK`` bytes of it at a time.
+
+        Cuts are known by their numbers until the next block only.
+        """
+        data, starts, _, joinable = cut_at_spaces(data, np.array([0, len(data)]))
+        edges = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(data), LONG_BLOCK)), len(starts) - 1))
+        for i, j in zip(edges[:-1], edges[1:]):
+            block = starts[i : j + 1] - starts[i]
+            yield self._remembered(data[starts[i] : starts[j]], block, joinable[i:j])
+
+    def _remembered(self, data: np.ndarray, starts: np.ndarray, joinable: np.ndarray) -> np.ndarray:
         if len(self._pair_number) > REMEMBERED_PAIRS:
             self._forget_pairs()
         if len(self._cut_number) > REMEMBERED_CUTS or self._held_bytes > HELD_BYTES:
             self._forget_cuts()
-        data, starts, first, joinable = cut_at_spaces(data, offsets)
         array = pa.Array.from_buffers(
             pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(np.ascontiguousarray(data))]
         )
@@ -319,7 +336,7 @@ class Aligner:
             where[at] = np.arange(len(at))  # a place of each distinct cut
             self._learn([distinct[i] for i in new], ~joinable[where[new]])
             number[new] = np.arange(len(self._good.values) - len(new), len(self._good.values))
-        return number[at], first
+        return number[at]
 
     def links(self, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pair numbers of all links of the cuts, and where each cut's end."""
@@ -335,11 +352,15 @@ class Aligner:
         """Which texts have only cuts whose bytes come back."""
         return _between((~self._good.values[cuts]).astype(np.int64), first) == 0
 
+    def text(self, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The groups of the cuts as text, and where each cut's end."""
+        sizes = self._text_size.values[cuts]
+        return self._text.values[_places(self._text_end.values[cuts] - sizes, sizes)], sizes.cumsum()
+
     def digests(self, cuts: np.ndarray, first: np.ndarray, spelt: np.ndarray) -> list[str]:
         """The SHA-256 of each text's groups; '' if there are none or its bytes do not come back."""
-        sizes = self._text_size.values[cuts]
-        text = self._text.values[_places(self._text_end.values[cuts] - sizes, sizes)]
-        ends = np.concatenate(([0], sizes.cumsum()))[first].tolist()
+        text, ends = self.text(cuts)
+        ends = np.concatenate(([0], ends))[first].tolist()
         groups = zip(ends[:-1], ends[1:], spelt.tolist())
         # The last group has no semicolon.
         return [hashlib.sha256(text[i : j - 1]).hexdigest() if good and j > i else "" for i, j, good in groups]
@@ -447,7 +468,12 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         pairs = aligner.pairs.values
         for batch in batches:
             for part in slices(batch, "body"):
-                cuts, first = aligner.numbers(*buffers(part.column("body")))
+                data, offsets = buffers(part.column("body"))
+                if len(offsets) == 2 and len(data) > LONG_BLOCK:
+                    keys = _long_pairs(aligner, data)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.ones(len(keys), np.int64))], ["pair", "docs"])
+                    continue
+                cuts, first = aligner.numbers(data, offsets)
                 if aligner.era != era:  # pairs are numbered anew
                     yield from flushed()
                     counts, era = np.zeros(0, np.int64), aligner.era
@@ -464,6 +490,34 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     return docs.select("body").mapInArrow(run, "pair long, docs long")
 
 
+def _long_pairs(aligner: Aligner, data: np.ndarray) -> np.ndarray:
+    """The distinct linked pairs of one long text; none if its bytes do not come back."""
+    found = np.zeros(0, np.int64)
+    for cuts in aligner.blocks(data):
+        if not aligner.spelt(cuts, np.array([0, len(cuts)])).all():
+            return found[:0]
+        links, _ = aligner.links(np.unique(cuts))
+        found = np.union1d(found, aligner.pairs.values[np.unique(links)])
+    return found
+
+
+def _long_result(aligner: Aligner, data: np.ndarray, pairs: "PairTable", highest: np.ndarray) -> tuple[list[int], str]:
+    """The counts and the digest of one long text."""
+    totals, digest, held = np.zeros(len(COUNTS), np.int64), hashlib.sha256(), b""
+    for cuts in aligner.blocks(data):
+        if not aligner.spelt(cuts, np.array([0, len(cuts)])).all():
+            return [0] * len(COUNTS), ""
+        numbers, times = np.unique(aligner.links(cuts)[0], return_counts=True)
+        keys = aligner.pairs.values[numbers]
+        counts = pairs.count(keys)
+        best = (counts > 0) & (counts == highest[keys // aligner.width])
+        totals += [*(int(s.sum()) for s in aligner.sums(cuts)), int((times * best).sum()), int((times * counts).sum())]
+        text = held + aligner.text(cuts)[0].tobytes()
+        digest.update(text[:-1])
+        held = text[-1:]  # the last group has no semicolon
+    return totals.tolist(), digest.hexdigest() if totals[0] else ""
+
+
 def _distinct_cuts(cuts: np.ndarray, first: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Text and cut of every different cut of each wanted text."""
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
@@ -550,7 +604,13 @@ def lookup(docs: DataFrame, a_path: str, b_path: str, table, best) -> DataFrame:
         era, counts, is_best = -1, np.zeros(0, np.int64), np.zeros(0, bool)
         for batch in batches:
             for part in slices(batch, "body"):
-                cuts, first = aligner.numbers(*buffers(part.column("body")))
+                data, offsets = buffers(part.column("body"))
+                if len(offsets) == 2 and len(data) > LONG_BLOCK:
+                    sums, digest = _long_result(aligner, data, pairs, highest)
+                    values = [part.column("doc"), *(pa.array([s], pa.int64()) for s in sums), pa.array([digest], pa.string())]
+                    yield pa.RecordBatch.from_arrays(values, ["doc", *COUNTS, "groups_sha256"])
+                    continue
+                cuts, first = aligner.numbers(data, offsets)
                 if aligner.era != era:
                     era, counts, is_best = aligner.era, np.zeros(0, np.int64), np.zeros(0, bool)
                 keys = aligner.pairs.values[len(counts) :]
