@@ -483,7 +483,7 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 once = _distinct_cuts(cuts, first, aligner.spelt(cuts, first))
                 links, ends = aligner.links(once[1])
                 doc = np.repeat(once[0], np.diff(ends, prepend=0))
-                held = np.unique(doc * len(counts) + links)
+                held = _distinct(doc * len(counts) + links)
                 counts += np.bincount(held % len(counts), minlength=len(counts))
         yield from flushed()
 
@@ -518,12 +518,20 @@ def _long_result(aligner: Aligner, data: np.ndarray, pairs: "PairTable", highest
     return totals.tolist(), digest.hexdigest() if totals[0] else ""
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order; by sorting, which is quicker here than a hash table."""
+    ordered = np.sort(values)
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return ordered[new]
+
+
 def _distinct_cuts(cuts: np.ndarray, first: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Text and cut of every different cut of each wanted text."""
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     chosen = wanted[doc]
     width = int(cuts.max(initial=0)) + 1
-    once = np.unique(doc[chosen] * width + cuts[chosen])
+    once = _distinct(doc[chosen] * width + cuts[chosen])
     return once // width, once % width
 
 
