@@ -21,7 +21,8 @@ def test_a_run_leaves_only_what_its_result_reads(spark, tmp_path, monkeypatch):
     folder = tmp_path / "shared"
     monkeypatch.setattr("txnrisk.sources.tables.shared_dir", lambda _: str(folder))
     corpus_pipeline.run(spark, SMALL).count()
-    assert [path.name.split("-")[0] for path in folder.iterdir()] == ["mixing"]
+    # The last stage's input, and the pieces that its own result reads.
+    assert sorted(path.name.split("-")[0] for path in folder.iterdir()) == ["mixing", "pieces"]
 
 
 def test_stages_keep_columns_and_take_empty_tables(spark, small):
