@@ -147,6 +147,15 @@ append_log_row(spark, "raw.ingestion_log", (dt.datetime(2024, 1, 1), "t", "SUCCE
     assert sorted(r.run_day.day for r in read_table(tables, "reports.daily_summary").collect()) == [1, 1, 2]
 
 
+def test_tables_of_another_kind_are_left_alone(spark):
+    drop_tables(spark)
+    transactions(spark, {}).write.saveAsTable("raw.transactions")
+    with pytest.raises(RuntimeError, match="was not made here"):
+        ensure_tables(spark)
+    assert spark.read.table("raw.transactions").count() == 1
+    drop_tables(spark)
+
+
 def test_replace_casts_to_the_declared_types(tables):
     loose = transactions(tables, {}).withColumns(
         {"step": F.col("step").cast("int"), "amount": F.col("amount").cast("decimal(10,2)")}

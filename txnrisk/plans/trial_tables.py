@@ -5,6 +5,7 @@ They work on tables of their own, in the shared folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from txnrisk.operators import quality
 from txnrisk.plans.tables import AS_OF, RunTables, run_ts
 from txnrisk.schemas import RUN_DAY, RUN_TIMESTAMP, TABLES
+from txnrisk.sources.files import delete
 from txnrisk.sources.tables import (
     append_log_row,
     databases_named,
@@ -33,9 +35,10 @@ PREFIX = "trial_"
 def trial_tables(spark: SparkSession) -> Iterator[None]:
     """Empty tables in databases of their own in the shared folder, removed at the end."""
     databases = sorted({name.split(".")[0] for name in TABLES})
+    root = f"{shared_dir(spark)}/{PREFIX}tables-{uuid.uuid4().hex}"
     with databases_named(PREFIX):
         for name in databases:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {PREFIX}{name} LOCATION '{shared_dir(spark)}/{PREFIX}tables/{name}.db'")
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {PREFIX}{name} LOCATION '{root}/{name}.db'")
         drop_tables(spark)
         ensure_tables(spark)
         try:
@@ -44,6 +47,7 @@ def trial_tables(spark: SparkSession) -> Iterator[None]:
             drop_tables(spark)
             for name in databases:
                 spark.sql(f"DROP DATABASE {PREFIX}{name}")
+            delete(spark, root)
 
 
 def _read_back(t: RunTables, name: str) -> DataFrame:

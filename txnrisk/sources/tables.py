@@ -9,6 +9,7 @@ process that knows the warehouse folder finds all tables again.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -22,6 +23,7 @@ from txnrisk.sources.files import children, delete, exists, touch
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 MARKER = "_committed"
+VERSION = re.compile(r"/v[0-9]{8}-[0-9a-f]{32}$")
 #: Versions that are kept, so that queries on the one before can end.
 KEPT_VERSIONS = 2
 
@@ -80,6 +82,8 @@ def _point(spark: SparkSession, name: str, path: str) -> None:
     known = _location(spark, name)
     if known is not None and known.rsplit("/", 1)[1] == path.rsplit("/", 1)[1]:
         return
+    if known is not None and not VERSION.search(known):
+        raise RuntimeError(f"{_in_catalog(name)} at {known} was not made here; move it before its rows could be lost")
     table = _in_catalog(name)
     if known is not None and name not in RUN_TIMESTAMP:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
