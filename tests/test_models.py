@@ -209,6 +209,12 @@ def test_leaves_of_boosted_trees_are_the_means_of_their_rows(splits, fitted):
     assert max(row.gap for row in boosting_step(whole, splits[0], 0.0).collect()) < 1e-9
 
 
+def test_trees_store_no_node_of_each_row(fitted):
+    """Trees this shallow find a row's node faster than they store it again at each level."""
+    for name in ("boosted", "forest"):
+        assert not fitted[name].stages[-1].getCacheNodeIds()
+
+
 def test_auto_weights_give_both_classes_the_same_total(splits):
     totals = (
         models.class_weights(splits[0]).groupBy("isFraud").agg(F.sum("class_weight").alias("w")).collect()
