@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tests.conftest import MEDIUM
@@ -71,6 +72,16 @@ def test_predict_keeps_the_input_columns(fitted, splits, name):
     assert scored.where("predicted_isFraud <> cast(probability > 0.5 as int)").count() == 0
 
 
+def test_scoring_after_an_observation_in_the_session(spark, splits):
+    """A fitted model goes to the tasks without the session it was fitted in."""
+    seen = Observation()
+    splits[0].observe(seen, F.count("*").alias("rows")).write.format("noop").mode("overwrite").save()
+    assert seen.get["rows"] == splits[0].count()
+    for train in (models.train_logistic, models.train_random_forest):
+        scored = models.predict(train(splits[0]), splits[1])
+        assert scored.where("probability is null").count() == 0
+
+
 def test_saved_model_gives_equal_predictions(fitted, splits, tmp_path):
     for name, model in fitted.items():
         model.write().overwrite().save(f"{tmp_path}/{name}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 
 from txnrisk.operators.explain import permutation_importance
 from txnrisk.operators.model_rows import ModelRows, model_rows, score_rows
-from txnrisk.sources.tables import ensure_checkpoint_dir
+from txnrisk.sources.files import delete
+from txnrisk.sources.tables import ensure_checkpoint_dir, scratch_dir
 from txnrisk.values import (
     CLASS_WEIGHTS,
     CLASSIFIER_FEATURES,
@@ -98,6 +100,20 @@ def _fit_classifier(train: DataFrame, classifier: Estimator) -> PipelineModel:
     return Pipeline(stages=stages).fit(train)
 
 
+def _without_summary(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The model as it is after saving and loading, without the summary of its training.
+
+    The summary of a two-class model holds the session. Scoring sends the model to the tasks, which fails with a
+    session that has had an ``Observation``, as that of a job that counts while it writes.
+    """
+    path = f"{scratch_dir(spark)}/model-{uuid.uuid4().hex}"
+    try:
+        model.write().save(path)
+        return PipelineModel.load(path)
+    finally:
+        delete(spark, path)
+
+
 def _labelled(train: DataFrame, *extra: str) -> DataFrame:
     kept = dict.fromkeys([*CLASSIFIER_FEATURES, LABEL, *extra])
     return train.where(F.col(LABEL).isNotNull()).select(*kept)
@@ -110,7 +126,8 @@ def train_logistic(
     classifier = LogisticRegression(
         featuresCol="features_vector", labelCol=LABEL, weightCol=WEIGHT, maxIter=iterations
     )
-    return _fit_classifier(class_weights(_labelled(train), weights), classifier)
+    model = _fit_classifier(class_weights(_labelled(train), weights), classifier)
+    return _without_summary(model, train.sparkSession)
 
 
 def train_boosted_tree(
@@ -164,7 +181,8 @@ def train_random_forest(
         subsamplingRate=subsample,
         seed=SEED,
     )
-    return _fit_classifier(class_weights(_labelled(train)), classifier)
+    model = _fit_classifier(class_weights(_labelled(train)), classifier)
+    return _without_summary(model, train.sparkSession)
 
 
 def train_kmeans(
