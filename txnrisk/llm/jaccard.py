@@ -5,10 +5,13 @@ steps.
 
 1. Partition. Two sets of resemblance t differ in at most (1 - t) / (1 + t) of their joint size.
    Hashing shingles into more parts than that leaves at least one part equal in both, and sizes
-   are cut into classes so that both use the same number of parts. Every node emits one key per part;
-   nodes with a common key are candidates, and the connected components of candidates are clusters that
-   no link leaves. A part with a single shingle says little, so parts are made a little more
-   numerous and weak ones are left out wherever enough others remain.
+   are cut into classes so that both use the same number of parts. Parts are made a little more numerous
+   and put in one order for all nodes, those of many shingles first, as one with a single shingle says little. A node emits a
+   key for each of its first parts, so many that two linked ones have ``need`` keys in common, not just one: a chance
+   hit of one key, whose number grows with the square of the table, makes no candidates.
+   Pairs are formed for keys of at most ``PAIRED_NODES`` nodes and counted. Of the keys of more nodes, only those of nodes that
+   have several such keys count; there each node is a candidate with the least one. A linked pair has enough keys of the one
+   kind or of the other, so the connected components of candidates are clusters that no link leaves.
 2. Signature tree. The nodes of a cluster are sorted by size into a tree whose nodes hold the
    OR of token bitmaps and the range of sizes below them. A dual traversal leaves out pairs of tree nodes
    whose largest possible overlap is too small, or that lie in one component already; the
@@ -36,12 +39,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnrisk.llm.components import connected
-from txnrisk.llm.tables import bound_batches, stored
+from txnrisk.llm.tables import bound_batches, discard, stored
 from txnrisk.llm.words import BASE, STEP, document_shingles, mix, slices
 
 CLASS_RATIO = 1.6
-#: From this size on, a part needs two shingles to be worth a key.
-STRONG_FROM = 24
+#: Keys that two linked nodes have in common, fewer in the classes of the smallest sets; the last bits of a key tell how many.
+MOST_NEEDED = 10
+NEED_BITS = 4
+#: A key of more nodes than that forms no pairs.
+PAIRED_NODES = 16
+#: Keys of which a task holds the nodes at a time, unless one key has more.
+HELD_KEYS = 1 << 17
+#: So many other keys make two nodes candidates; keys of more nodes count for a node with so many of them. One of both holds for linked nodes.
+PAIRED_LEAST = "least(4, (need + 1) div 2)"
+CROWDED_LEAST = f"need + 1 - {PAIRED_LEAST}"
+#: Kinds of what ``_shared_keys`` finds.
+PAIR, CROWD = 0, 1
 FILTER_BITS = 1 << 24
 #: Nodes of which a task remembers that it has sent them on; it starts anew beyond this many.
 REMEMBERED_NODES = 1 << 18
@@ -92,7 +105,11 @@ def set_hash(shingles: np.ndarray) -> np.uint64:
 
 
 def part_keys(sets: list[np.ndarray], nodes: np.ndarray, like: Likeness) -> tuple[np.ndarray, np.ndarray]:
-    """Key and node of every part to emit."""
+    """Key and node of every part to emit.
+
+    Of two linked sets at most as many parts differ as shingles. Up to the ``need``-th part they have in common, in an order of
+    all parts, each has no more than that many others, so it is among the first that each emits.
+    """
     sizes = np.array([len(s) for s in sets])
     reach = like.largest(sizes)
     ends = class_ends(int(reach.max(initial=1)))
@@ -104,8 +121,8 @@ def part_keys(sets: list[np.ndarray], nodes: np.ndarray, like: Likeness) -> tupl
         chosen = np.flatnonzero((first <= number) & (number <= last) & (sizes > 0))
         if not needed or not len(chosen):
             continue  # only equal sets can be linked
-        parts = needed + 1 + int(np.ceil(like.slack * needed))
-        least = 2 if number and ends[number - 1] >= STRONG_FROM else 1
+        need = min(MOST_NEEDED, 2 + needed // 2)
+        parts = needed + need + int(np.ceil(like.slack * needed))
         tokens = mix(np.concatenate([sets[i] for i in chosen]) + np.uint64((number + 1) * int(STEP) % (1 << 64)))
         row = np.repeat(np.arange(len(chosen)), sizes[chosen])
         at = row * parts + ((tokens >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
@@ -114,11 +131,11 @@ def part_keys(sets: list[np.ndarray], nodes: np.ndarray, like: Likeness) -> tupl
         np.add.at(sums, at, mix(tokens))
         place = np.arange(parts, dtype=np.uint64) * STEP + np.uint64(number * int(BASE) % (1 << 64))
         part = mix(sums.reshape(-1, parts) + place)
-        strong = counts >= least
+        order = ((255 - np.minimum(counts, 255)).astype(np.uint64) << np.uint64(56)) | (part >> np.uint64(8))
         allowed = like.difference(sizes[chosen] + np.minimum(reach[chosen], end))
-        enough = strong.sum(axis=1) > allowed
-        emit = strong | ~enough[:, None]
-        keys.append(part[emit])
+        last_one = np.sort(order, axis=1)[np.arange(len(chosen)), allowed + need - 1]
+        emit = order <= last_one[:, None]
+        keys.append((part[emit] >> np.uint64(NEED_BITS) << np.uint64(NEED_BITS)) | np.uint64(need))
         owners.append(np.repeat(nodes[chosen], emit.sum(axis=1)))
     if not keys:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
@@ -266,8 +283,60 @@ def _distinct_sets(
     return [sets[i] for i in rows], nodes[rows], rows
 
 
+def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From ``key`` and ``node`` in order of the key, ``kind``, ``need``, ``u``, ``v``: the two nodes of a pair, or key and node."""
+
+    def found(kind: int, keys: np.ndarray, u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+        need = (keys & ((1 << NEED_BITS) - 1)).astype(np.int32)
+        columns = [np.full(len(u), kind, np.int32), need, u, v]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["kind", "need", "u", "v"])
+
+    def shared(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys and different nodes, both in order, of keys that several nodes have, and the number of nodes of each key."""
+        again = np.zeros(len(keys) + 1, bool)
+        again[1:-1] = keys[1:] == keys[:-1]
+        several = again[1:] | again[:-1]
+        keys, nodes = keys[several], nodes[several]
+        order = np.lexsort((nodes, keys))
+        keys, nodes = keys[order], nodes[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+        keys, nodes = keys[new], nodes[new]
+        _, run, size = np.unique(keys, return_inverse=True, return_counts=True)
+        return keys, nodes, size[run]
+
+    def of(keys: np.ndarray, nodes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keys, nodes, size = shared(keys, nodes)
+        crowd = size > PAIRED_NODES
+        yield found(CROWD, keys[crowd], keys[crowd], nodes[crowd])
+        keys, nodes = keys[~crowd], nodes[~crowd]
+        for step in range(1, min(PAIRED_NODES, len(keys))):
+            at = np.flatnonzero(keys[step:] == keys[:-step])
+            if not len(at):
+                break
+            yield found(PAIR, keys[at], nodes[at], nodes[at + step])
+
+    held, size = [], 0
+    for batch in batches:
+        held.append([batch.column(name).to_numpy() for name in ("key", "node")])
+        size += batch.num_rows
+        if size < HELD_KEYS:
+            continue
+        keys, nodes = (np.concatenate(ends) for ends in zip(*held))
+        open_key = int(np.searchsorted(keys, keys[-1]))
+        yield from of(keys[:open_key], nodes[:open_key])
+        keys, nodes = keys[open_key:], np.unique(nodes[open_key:])
+        if len(nodes) > PAIRED_NODES:
+            # A crowd, whatever follows; those that stay keep it one.
+            yield found(CROWD, keys[: len(nodes)], keys[: len(nodes)], nodes)
+            nodes = nodes[: PAIRED_NODES + 1]
+        held, size = [[keys[: len(nodes)], nodes]], len(nodes)
+    if held:
+        yield from of(*(np.concatenate(ends) for ends in zip(*held)))
+
+
 def _candidates(docs: DataFrame, text_col: str, like: Likeness) -> DataFrame:
-    """Edges between nodes that share a part: each node of a part with the least node of it."""
+    """Edges ``u``, ``v`` between nodes that share enough parts; stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
@@ -280,8 +349,19 @@ def _candidates(docs: DataFrame, text_col: str, like: Likeness) -> DataFrame:
                 )
 
     parts = docs.select(F.col(text_col).alias("body")).mapInArrow(run, "key long, node long")
-    least = F.min("node").over(Window.partitionBy("key"))
-    return parts.select(F.col("node").alias("u"), least.alias("v")).filter("u != v").distinct()
+    shared = parts.repartition("key").sortWithinPartitions("key").mapInArrow(_shared_keys, "kind int, need int, u long, v long")
+    # A node of a crowd may come twice.
+    shared = shared.groupBy("kind", "need", "u", "v").agg(F.count("*").alias("keys"))
+    shared = stored(shared.filter((F.col("kind") == CROWD) | F.expr(f"keys >= {PAIRED_LEAST}")), "shared-keys")
+    crowds = shared.filter(F.col("kind") == CROWD).select("need", F.col("u").alias("key"), F.col("v").alias("u"))
+    often = crowds.groupBy("need", "u").count().filter(f"count >= {CROWDED_LEAST}")
+    crowds = crowds.join(often.select("need", "u"), ["need", "u"])
+    least = crowds.groupBy("key").agg(F.min("u").alias("v"))
+    linked = crowds.join(least, "key").filter("u != v").select("u", "v")
+    edges = shared.filter(F.col("kind") == PAIR).select("u", "v").unionByName(linked)
+    edges = stored(edges, "candidates")
+    discard(shared)
+    return edges
 
 
 def _node_filter(nodes: DataFrame) -> bytes:
@@ -345,7 +425,9 @@ def _labelled(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def node_roots(docs: DataFrame, text_col: str, nodes: DataFrame, like: Likeness) -> DataFrame:
     """``node`` and ``root`` of all nodes that are linked with another; ``nodes`` has ``node``, ``n_shingles``."""
-    clusters = connected(_candidates(docs, text_col, like))
+    candidates = _candidates(docs, text_col, like)
+    clusters = connected(candidates)
+    discard(candidates)
     sized = clusters.join(nodes, "node").select("node", F.col("root").alias("cluster"), "n_shingles")
     sized = stored(sized, "clusters")
     split = F.greatest(
