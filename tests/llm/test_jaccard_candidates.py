@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -84,3 +85,22 @@ def test_crowds_against_all_pairs(spark, edited, monkeypatch, paired):
     docs = spark.createDataFrame(edited, "doc_id long, text string").repartition(7)
     found = link_components(docs, Likeness(5, 80, 100)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == plain.components(edited, 5, 80, 100)
+
+
+def test_the_pipeline_stage_compares_few_of_them(spark, monkeypatch):
+    """Documents that share a passage are not sent to be compared block by block, each with all others."""
+    rnd = random.Random(4)
+    words = [f"w{rnd.randrange(10**9)}" for _ in range(30)]
+    texts = [" ".join(words + [f"w{rnd.randrange(10**9)}" for _ in range(90)]) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate([*texts, texts[0] + " end"])), "doc_id long, text string").repartition(5)
+    sent, joined = [], jaccard._joined
+
+    def counted(rows, like):
+        sent.append(rows.count())
+        return joined(rows, like)
+
+    monkeypatch.setattr(jaccard, "_joined", counted)
+    monkeypatch.setattr(jaccard, "GROUP_NODES", 16)
+    kept = {r.doc_id for r in corpus_pipeline.jaccard_join(spark, docs, "").collect()}
+    assert kept == set(range(300))
+    assert sum(sent) < 301
